@@ -19,7 +19,7 @@ def transition_model(tr: DataFrame) -> DataFrame:
     """P(s_next given s, a) and the mean reward; a null ``s_next`` is the terminal outcome."""
     counts = transition_counts(tr)
     totals = counts.groupBy("s", "a").agg(F.sum("n").alias("total"))
-    return lookup_join(counts, totals, ["s", "a"]).select(
+    return counts.join(totals, ["s", "a"]).select(
         "s", "a", "s_next", "n", (F.col("n") / F.col("total")).alias("p"), (F.col("sum_r") / F.col("n")).alias("mean_r"))
 
 

@@ -33,12 +33,13 @@ def reachable(edge: DataFrame, start: DataFrame, max_rounds: int = MAX_ROUNDS) -
         path = f"{root}/hops={hops:05d}"
         frontier.write.parquet(path)
         new = spark.read.schema(schema).parquet(path)
-        if new.isEmpty():
+        n = new.count()
+        if n == 0:
             break
         paths.append(path)
         seen = spark.read.schema(schema).parquet(*paths)
         ids = new.select(F.col("id").alias("src"))
-        step = lookup_join(links, ids, ["src"], "left_semi").select(F.col("dst").alias("id")).distinct()
+        step = lookup_join(links, ids, ["src"], "left_semi", dims_rows=n).select(F.col("dst").alias("id")).distinct()
         frontier = step.join(seen.select("id"), "id", "left_anti").withColumn("hops", F.lit(hops + 1))
     else:
         raise RuntimeError(f"not finished after {max_rounds} rounds")
@@ -54,24 +55,34 @@ def least_costs(edge: DataFrame, start: str | int, max_rounds: int = MAX_ROUNDS)
     links = materialize(edge.groupBy("src", "dst").agg(F.min("cost").alias("cost")), "links")
     kind = links.schema["src"].dataType
     spark = edge.sparkSession
-    best = spark.range(1).select(
+    root = scratch_path(spark, "costs")
+    changed = spark.range(1).select(
         F.lit(start).cast(kind).alias("id"), F.lit(0.0).alias("cost"), F.array(F.lit(start).cast(kind)).alias("path"))
-    best = materialize(best, "best")
-    changed = best
-    for _ in range(max_rounds):
-        here = changed.select(F.col("id").alias("src"), F.col("cost").alias("__c"), "path")
-        offers = lookup_join(links, here, ["src"], "inner").select(
-            F.col("dst").alias("id"), (F.col("__c") + F.col("cost")).alias("cost"),
-            F.concat("path", F.array("dst")).alias("path"))
-        known = best.select("id", F.col("cost").alias("__old"), F.col("path").alias("__oldpath"))
-        chosen = offers.groupBy("id").agg(F.min_by(F.struct("cost", "path"), F.struct("cost", "path")).alias("o"))
-        better = chosen.join(known, "id", "left").filter("__old is null or o.cost < __old").select("id", "o.cost", "o.path")
-        changed = materialize(better, "changed")
-        if changed.isEmpty():
-            return best
-        kept = best.join(changed.select("id"), "id", "left_anti")
-        best = materialize(kept.unionByName(changed), "best")
-    raise RuntimeError(f"not finished after {max_rounds} rounds")
+    schema = changed.schema
+    paths: list[str] = []
+    for done in range(max_rounds + 1):
+        path = f"{root}/round={done:05d}"
+        changed.write.parquet(path)
+        here = spark.read.schema(schema).parquet(path)
+        n = here.count()
+        if n == 0:
+            break
+        paths.append(path)
+        best = _cheapest(spark.read.schema(schema).parquet(*paths))
+        offers = lookup_join(links, here.select(F.col("id").alias("src"), F.col("cost").alias("__c"), "path"),
+                             ["src"], "inner", dims_rows=n)
+        chosen = _cheapest(offers.select(F.col("dst").alias("id"), (F.col("__c") + F.col("cost")).alias("cost"),
+                                         F.concat("path", F.array("dst")).alias("path")))
+        known = best.select("id", F.col("cost").alias("__old"))
+        changed = chosen.join(known, "id", "left").filter("__old is null or cost < __old").drop("__old")
+    else:
+        raise RuntimeError(f"not finished after {max_rounds} rounds")
+    return _cheapest(spark.read.schema(schema).parquet(*paths))
+
+
+def _cheapest(offers: DataFrame) -> DataFrame:
+    offer = F.struct("cost", "path")
+    return offers.groupBy("id").agg(F.min(offer).alias("o")).select("id", "o.cost", "o.path")
 
 
 def least_cost_path(edge: DataFrame, start: str | int, goal: str | int) -> DataFrame:

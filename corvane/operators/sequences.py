@@ -88,17 +88,12 @@ def dedup_adjacent(df: DataFrame, key: Sequence[str], order: Sequence[str], valu
 
 def take_until_repeat(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
                       rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Rows of each source before its first adjacent repeat.
-
-    The first repeat position per source is an aggregate; a source longer than a task
-    never has to be gathered to find it.
-    """
-    seen = Ordered(df, key, order, rows_per_task).index("__ix").lag(__prev=value).result()
-    repeat = (F.col("__ix") > 0) & F.col("__prev").eqNullSafe(F.col(value))
-    flagged = seen.withColumn("__rep", repeat)
-    first = flagged.filter("__rep").groupBy(*key).agg(F.min("__ix").alias("__stop"))
-    cut = lookup_join(flagged, first, key)
-    return cut.filter(F.col("__stop").isNull() | (F.col("__ix") < F.col("__stop"))).drop("__ix", "__prev", "__rep", "__stop")
+    """Rows of each source before its first adjacent repeat."""
+    first = Ordered(df, key, order, rows_per_task)
+    seen = first.index("__ix").lag(__prev=value).result()
+    repeat = ((F.col("__ix") > 0) & F.col("__prev").eqNullSafe(F.col(value))).cast("bigint")
+    second = Ordered(seen.withColumn("__rep", repeat), key, order, rows_per_task, first.largest)
+    return second.running(__n=F.col("__rep")).result().filter("__n = 0").drop("__ix", "__prev", "__rep", "__n")
 
 
 def transitions(df: DataFrame, key: Sequence[str], order: Sequence[str], state: str,

@@ -15,14 +15,14 @@ def chunk_stats(chunks: DataFrame, key: str = "doc_id", chunk: str = "chunk") ->
     size = F.length(chunk)
     return chunks.groupBy(key).agg(
         F.count("*").alias("n_chunks"),
-        F.round(F.sum(size).cast("double") / F.count("*"), 4).alias("mean_length"))
+        F.avg(size).alias("mean_length"))
 
 
 def size_report(df: DataFrame, chunk: str = "chunk") -> DataFrame:
     """Number of rows and mean length of the whole set."""
     size = F.length(chunk)
     return df.agg(F.count("*").alias("n_rows"),
-                  F.round(F.sum(size).cast("double") / F.count("*"), 4).alias("mean_length"))
+                  F.avg(size).alias("mean_length"))
 
 
 def value_counts(df: DataFrame, name: str, normalize: bool = False) -> DataFrame:

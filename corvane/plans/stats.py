@@ -23,17 +23,19 @@ def a1(t):
 
 
 @query("a2_chunk_stats", f"""
-    SELECT doc_id, count(*) AS n_chunks, round(sum(length(chunk))::DOUBLE / count(*), 4) AS mean_length
+    SELECT doc_id, count(*) AS n_chunks, round(avg(length(chunk)), 9) AS mean_length
     FROM ({_lookback(1024, 100, 512)}) GROUP BY doc_id""")
 def a2(t):
-    return st.chunk_stats(ck.chunk_lookback(t("documents"), 1024, 100))
+    stats = st.chunk_stats(ck.chunk_lookback(t("documents"), 1024, 100))
+    return stats.withColumn("mean_length", F.round("mean_length", 9))
 
 
 @query("a2_size_report", f"""
-    SELECT count(*) AS n_rows, round(sum(length(chunk))::DOUBLE / count(*), 4) AS mean_length
+    SELECT count(*) AS n_rows, round(avg(length(chunk)), 9) AS mean_length
     FROM ({_lookback(1024, 100, 512)})""")
 def a2_total(t):
-    return st.size_report(ck.chunk_lookback(t("documents"), 1024, 100))
+    report = st.size_report(ck.chunk_lookback(t("documents"), 1024, 100))
+    return report.withColumn("mean_length", F.round("mean_length", 9))
 
 
 @query("a3_value_counts", """
@@ -43,10 +45,10 @@ def a3(t):
 
 
 @query("a4_centroid", """
-    SELECT round(avg(s_acctbal), 4) AS y, round(avg(s_nationkey), 4) AS x FROM supplier""")
+    SELECT round(avg(s_acctbal), 9) AS y, round(avg(s_nationkey), 9) AS x FROM supplier""")
 def a4(t):
     c = st.centroid(t("supplier"), "s_nationkey", "s_acctbal")
-    return c.select(F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+    return c.select(F.round("x", 9).alias("x"), F.round("y", 9).alias("y"))
 
 
 @query("a5_union_sets", """

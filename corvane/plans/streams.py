@@ -1 +1,45 @@
-"""."""
+"""Streaming queries (ST1-ST3), run over the given tables until nothing is left."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvane.plans import query
+from corvane.plans.sequences import RUNNING
+from corvane.scale import scratch_path
+from corvane.streaming import state as ss
+
+
+def _stream(t, name):
+    return t.spark.readStream.schema(t(name).schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.sf_dir)
+
+
+@query("st1_running_state", RUNNING)
+def st1(t):
+    return ss.run_available(ss.stream_running_state(_stream(t, "conversations")), "st1")
+
+
+@query("st2_q_update")
+def st2(t):
+    k = F.get_json_object("props", "$.k").cast("int")
+    steps = _stream(t, "events").select(
+        "user_id", "ts", "event_id", F.col("event_type").alias("s"),
+        F.concat(F.lit("k"), F.floor(k / 20).cast("string")).alias("a"), F.col("value").alias("r"))
+    return ss.run_available(ss.stream_q_update(steps, 0.9), "st2")
+
+
+@query("st3_stream_records", """
+    SELECT conv_id, turn, len(list_filter(regexp_split_to_array(replace(replace(text, '[', '('), '{', '('), '\\s+'), lambda w:
+      regexp_replace(w, '^[0-9]+\\.+', '') NOT IN ('', '1-0', '0-1', '1/2-1/2', '*')))::INT AS n_moves
+    FROM conversations WHERE role <> 'system'""")
+def st3(t):
+    """Turns written as record files; system turns lack a player and must be skipped."""
+    path = scratch_path(t.spark, "records")
+    white = F.when(F.col("role") == "system", "").otherwise(F.concat(F.lit('[White "'), "role", F.lit('"]\n')))
+    text = F.replace(F.replace("text", F.lit("["), F.lit("(")), F.lit("{"), F.lit("("))
+    record = F.concat(F.lit('[Event "'), F.concat_ws(" ", "conv_id", "turn"), F.lit('"]\n'), white,
+                      F.lit('[Black "x"]\n\n1.'), text)
+    t("conversations").select(record.alias("value")).write.option("lineSep", "\n\n").text(path)
+    games = ss.run_available(ss.stream_records(t.spark, path), "st3")
+    ids = F.split(F.col("headers")["Event"], " ")
+    return games.select(ids[0].cast("bigint").alias("conv_id"), ids[1].cast("bigint").alias("turn"), F.size("moves").alias("n_moves"))

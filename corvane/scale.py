@@ -76,13 +76,13 @@ class Ordered:
     """
 
     def __init__(self, df: DataFrame, key: Sequence[str], order: Sequence[str],
-                 rows_per_task: int = ROWS_PER_TASK):
+                 rows_per_task: int = ROWS_PER_TASK, largest: int | None = None):
         self.key, self.order = list(key), list(order)
-        rows = largest_group(df, self.key)
-        self.split = rows > rows_per_task
+        self.largest = largest_group(df, self.key) if largest is None else largest
+        self.split = self.largest > rows_per_task
         if self.split:
             parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                        -(-rows // rows_per_task) * 3)
+                        -(-self.largest // rows_per_task) * 3)
             df = materialize(
                 df.repartitionByRange(parts, *self.key, *self.order)
                 .withColumn(_PART, F.spark_partition_id()), "ranges")
@@ -233,14 +233,18 @@ def uniform(*cols: str | Column, seed: int) -> Column:
 
 
 def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "left",
-                broadcast_rows: int = BROADCAST_ROWS, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS, rows_per_task: int = ROWS_PER_TASK,
+                dims_rows: int | None = None) -> DataFrame:
     """Join a fact side of any skew to ``dims``, which is unique on ``on``.
 
     ``dims`` is broadcast only when counted to be small. Otherwise the rows of hot
     keys meet a broadcast of their few ``dims`` rows and all others are shuffled.
+    ``dims_rows`` is its row count where the caller already knows it.
     """
     on = list(on)
-    if dims.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if dims_rows is None:
+        dims_rows = dims.limit(broadcast_rows + 1).count()
+    if dims_rows <= broadcast_rows:
         return facts.join(F.broadcast(dims), on, how)
     floor = max(rows_per_task, facts.count() // HOT_KEYS)
     hot = facts.groupBy(*on).count().filter(F.col("count") > floor).select(*on)
