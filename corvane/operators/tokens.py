@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as tx
-from corvane.scale import global_index, lookup_join, materialize
+from corvane.scale import BROADCAST_ROWS, global_index, materialize
 
 # Reserved ids and the label value that training ignores.
 UNK_ID, EOS_ID, FIRST_ID = 0, 2, 3
@@ -42,16 +42,26 @@ def _padded(ids: Column, fill: Column, width: Column, side: str) -> Column:
 
 
 def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "right",
-           pad_id: int = EOS_ID, unk_id: int = UNK_ID, text: str = "text", key: str = "doc_id") -> DataFrame:
+           pad_id: int = EOS_ID, unk_id: int = UNK_ID, text: str = "text", key: str = "doc_id",
+           head: int = BROADCAST_ROWS) -> DataFrame:
     """Token ids cut to ``length`` and padded, with mask and labels; ``side=None`` does not pad.
 
-    Tokens beyond ``length`` never leave the scan stage. Frequent tokens make the id
-    lookup skewed, which ``lookup_join`` handles; a group is one text of at most
-    ``length`` ids.
+    ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. Its most frequent
+    ``head`` tokens are broadcast; a larger vocabulary leaves only rare tokens, none of
+    them hot, for a shuffled lookup. Tokens beyond ``length`` never leave the scan
+    stage, and a group is one text of at most ``length`` ids.
     """
     tokens = F.slice(tx.words(F.col(text)), 1, length)
     exploded = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    known = lookup_join(exploded, vocab.select("token", "id"), ["token"])
+    table = vocab.select("token", "id")
+    if table.count() <= head:
+        known = exploded.join(F.broadcast(table), "token", "left")
+    else:
+        edge = table.agg(F.min("id")).first()[0] + head
+        near = exploded.join(F.broadcast(table.filter(F.col("id") < edge)), "token", "left")
+        rare = near.filter("id is null and token is not null").drop("id")
+        known = near.filter("id is not null or token is null").unionByName(
+            rare.join(table.filter(F.col("id") >= edge), "token", "left"))
     item = F.when(F.col("token").isNotNull(),
                   F.struct("pos", F.coalesce("id", F.lit(unk_id)).cast("int").alias("id")))
     ids = (known.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("__items"))

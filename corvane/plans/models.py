@@ -18,7 +18,7 @@ from corvane.scale import materialize
 @query("m1_gbt_report")
 def m1(t):
     text = F.col("text")
-    docs = t("documents").select(
+    docs = t.spread("documents", "doc_id").select(
         "doc_id", F.col("n_chars").cast("double").alias("x0"), tx.token_count(text).cast("double").alias("x1"),
         F.size(F.split(text, "\n")).cast("double").alias("x2"), F.length(F.regexp_replace(text, "[^,.]", "")).cast("double").alias("x3"))
     data = t("labels").select("doc_id", F.col("quality").alias("y")).join(docs, "doc_id")

@@ -120,7 +120,7 @@ def p8_parity(t):
       FROM (SELECT doc_id, text, unnest(range(0, (length(text) + 299)//300)) AS i FROM documents))
     WHERE length(c) >= 150 GROUP BY doc_id""")
 def p9(t):
-    chunks = ck.chunk_stride(t("documents"), 300, 0)
+    chunks = ck.chunk_stride(t.spread("documents", "doc_id"), 300, 0)
     return chunks.groupBy("doc_id").agg(F.count("*").alias("n"))
 
 

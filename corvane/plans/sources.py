@@ -57,7 +57,7 @@ def s2(t):
 @query("s3_extract_docx", "SELECT doc_id, text, NULL::VARCHAR AS error FROM documents")
 def s3(t):
     make = F.udf(_docx, "binary", useArrow=False)
-    made = t("documents").select("doc_id", make("text").alias("content"))
+    made = t.spread("documents", "doc_id").select("doc_id", make("text").alias("content"))
     return files.extract_docx(made, "doc_id")
 
 
@@ -160,18 +160,22 @@ def s10(t):
     return sq.take_until_repeat(records.load_ordered(*frames), ["source"], ["pos"], "v").select("source", "pos", "v")
 
 
-@query("s11_extract_links", """
-    SELECT page_id, (i - 1)::INT AS link_ix, h[i] AS href FROM (
+_HREFS = ("regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script>', '', 'g'), "
+          "'(?i)<a\\s[^>]*?\\bhref\\s*=\\s*[\"\\x27]([^\"\\x27]*)[\"\\x27]', 1)")
+
+
+@query("s11_extract_links", f"""
+    SELECT page_id, (i - 1)::INT AS link_ix, replace(h[i], '&amp;', '&') AS href FROM (
       SELECT page_id, h, unnest(generate_series(1, len(h))) AS i FROM (
-        SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1) AS h FROM pages))""")
+        SELECT page_id, {_HREFS} AS h FROM pages))""")
 def s11(t):
     return pages.extract_links(t("pages"))
 
 
-@query("s11_first_link", """
-    SELECT page_id, min(i - 1)::INT AS link_ix, arg_min(h[i], i) AS href FROM (
+@query("s11_first_link", f"""
+    SELECT page_id, min(i - 1)::INT AS link_ix, replace(arg_min(h[i], i), '&amp;', '&') AS href FROM (
       SELECT page_id, h, unnest(generate_series(1, len(h))) AS i FROM (
-        SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1) AS h FROM pages))
+        SELECT page_id, {_HREFS} AS h FROM pages))
     WHERE contains(h[i], 'th') GROUP BY page_id""")
 def s11_first(t):
     return pages.first_link(pages.extract_links(t("pages")), "th")

@@ -11,6 +11,7 @@ from corvane.operators import stats as st
 from corvane.operators import tokens as tk
 from corvane.plans import query
 from corvane.plans.rows import BOARD, board, sql_map
+from corvane.scale import spread
 from corvane.plans.text import _ENCODED, _PAIRS, _lookback, _turn_pairs, _vocab
 
 
@@ -26,7 +27,7 @@ def a1(t):
     SELECT doc_id, count(*) AS n_chunks, round(avg(length(chunk)), 9) AS mean_length
     FROM ({_lookback(1024, 100, 512)}) GROUP BY doc_id""")
 def a2(t):
-    stats = st.chunk_stats(ck.chunk_lookback(t("documents"), 1024, 100))
+    stats = st.chunk_stats(ck.chunk_lookback(t.spread("documents", "doc_id"), 1024, 100))
     return stats.withColumn("mean_length", F.round("mean_length", 9))
 
 
@@ -34,7 +35,7 @@ def a2(t):
     SELECT count(*) AS n_rows, round(avg(length(chunk)), 9) AS mean_length
     FROM ({_lookback(1024, 100, 512)})""")
 def a2_total(t):
-    report = st.size_report(ck.chunk_lookback(t("documents"), 1024, 100))
+    report = st.size_report(ck.chunk_lookback(t.spread("documents", "doc_id"), 1024, 100))
     return report.withColumn("mean_length", F.round("mean_length", 9))
 
 
@@ -155,7 +156,7 @@ def _rouge_sql(n: int) -> str:
 
 
 def _pairs(t):
-    return _turn_pairs(t).select("conv_id", "turn", F.col("question").alias("prediction"), F.col("answer").alias("reference"))
+    return spread(_turn_pairs(t), "conv_id").select("conv_id", "turn", F.col("question").alias("prediction"), F.col("answer").alias("reference"))
 
 
 @query("a11_rouge_1", _rouge_sql(1))
@@ -248,7 +249,7 @@ def a17(t):
     WITH {_ENCODED} SELECT count(*) AS n_rows, 512 AS min_len, 512 AS max_len,
       round(avg((len(ids) < 512 OR list_contains(ids, 2))::INT), 6) AS padded_share FROM ids""")
 def a18(t):
-    return st.profile(tk.encode(t("documents"), _vocab(t), 512), "input_ids", tk.EOS_ID).withColumn(
+    return st.profile(tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512), "input_ids", tk.EOS_ID).withColumn(
         "padded_share", F.round("padded_share", 6))
 
 

@@ -9,6 +9,7 @@ from corvane.operators import chunks as ck
 from corvane.operators import templates as tp
 from corvane.operators import tokens as tk
 from corvane.plans import query
+from corvane.scale import materialize
 
 WS = tx.SPACE
 # A text with injected runs of white space, so that cleaning has work to do.
@@ -37,7 +38,7 @@ def _lookback(size: int, overlap: int, min_len: int) -> str:
 
 for _size, _overlap in ck.PRESETS:
     query(f"t1_chunk_lookback_{_size}", _lookback(_size, _overlap, _size // 2))(
-        lambda t, s=_size, v=_overlap: ck.chunk_lookback(t("documents"), s, v))
+        lambda t, s=_size, v=_overlap: ck.chunk_lookback(t.spread("documents", "doc_id"), s, v))
 
 
 @query("t2_chunk_stride", """
@@ -45,7 +46,7 @@ for _size, _overlap in ck.PRESETS:
     FROM (SELECT doc_id, text, unnest(range(0, (length(text) + 230)//231)) AS i FROM documents)
     WHERE length(substr(text, i*231 + 1, 256)) >= 128""")
 def t2(t):
-    return ck.chunk_stride(t("documents"), 256, 25)
+    return ck.chunk_stride(t.spread("documents", "doc_id"), 256, 25)
 
 
 @query("t3_chunk_tokens", f"""
@@ -53,7 +54,7 @@ def t2(t):
     FROM (SELECT doc_id, w, unnest(range(0, (len(w) + 461)//462)) AS i
           FROM (SELECT doc_id, {_words('text')} AS w FROM documents))""")
 def t3(t):
-    return ck.chunk_tokens(t("documents"), 512, 50)
+    return ck.chunk_tokens(t.spread("documents", "doc_id"), 512, 50)
 
 
 _QA = f"""
@@ -66,24 +67,24 @@ _QA = f"""
 
 @query("t4_qa_windows", _QA)
 def t4(t):
-    return ck.qa_windows(t("documents"))
+    return ck.qa_windows(t.spread("documents", "doc_id"))
 
 
 @query("t5_chunk_merge")
 def t5(t):
-    return ck.chunk_merge(t("documents"), sep="\n", limit=1000)
+    return ck.chunk_merge(t.spread("documents", "doc_id"), sep="\n", limit=1000)
 
 
 @query("t6_chunk_min_size", _lookback(1024, 100, 200))
 def t6(t):
-    return ck.chunk_lookback(t("documents"), **ck.MIN_SIZE_PRESET)
+    return ck.chunk_lookback(t.spread("documents", "doc_id"), **ck.MIN_SIZE_PRESET)
 
 
 @query("t7_clean_ws", f"""
     SELECT doc_id, regexp_replace(regexp_replace({RUNS}, '\\n{{2,}}', chr(10), 'g'), '{WS}{{2,}}', ' ', 'g') AS clean
     FROM documents""")
 def t7(t):
-    return t("documents").select("doc_id", tx.clean_ws(_runs(F.col("text"))).alias("clean"))
+    return t.spread("documents", "doc_id").select("doc_id", tx.clean_ws(_runs(F.col("text"))).alias("clean"))
 
 
 @query("t8_drop_blank_lines", f"""
@@ -91,7 +92,7 @@ def t7(t):
              lambda l: regexp_matches(l, '[^{WS[1:]}')), chr(10)) AS kept
     FROM documents""")
 def t8(t):
-    return t("documents").select("doc_id", tx.drop_blank_lines(_runs(F.col("text"))).alias("kept"))
+    return t.spread("documents", "doc_id").select("doc_id", tx.drop_blank_lines(_runs(F.col("text"))).alias("kept"))
 
 
 _CHATML = """'<|im_start|>system' || chr(10) || 'You are a helpful document assistant.<|im_end|>' || chr(10)
@@ -103,7 +104,7 @@ _CHATML = """'<|im_start|>system' || chr(10) || 'You are a helpful document assi
     SELECT doc_id, window_ix, {_CHATML.format(c='context', q='question')} || answer || '<|im_end|>' AS prompt
     FROM ({_QA})""")
 def t9(t):
-    qa = ck.qa_windows(t("documents"))
+    qa = ck.qa_windows(t.spread("documents", "doc_id"))
     return qa.select("doc_id", "window_ix", tp.render_chatml(
         F.col("question"), F.col("context"), F.col("answer")).alias("prompt"))
 
@@ -186,18 +187,19 @@ def _flat(df, *arrays):
 
 
 def _vocab(t):
-    return tk.build_vocab(t("documents"), specials=())
+    """The vocabulary as a written table, which every later encoding reads."""
+    return materialize(tk.build_vocab(t.spread("documents", "doc_id"), specials=()), "vocab")
 
 
 @query("t14_encode", _encode_sql("right"))
 def t14(t):
-    out = tk.encode(t("documents"), _vocab(t), 512)
+    out = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512)
     return _flat(out, "input_ids", "attention_mask", "labels")
 
 
 @query("t15_encode_left", _encode_sql("left"))
 def t15(t):
-    out = tk.encode(t("documents"), _vocab(t), 512, side="left")
+    out = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side="left")
     return _flat(out, "input_ids", "attention_mask", "labels")
 
 
@@ -206,7 +208,7 @@ def t15(t):
     m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS width FROM b)
     SELECT doc_id, batch, width::INT AS width, {_pad('right', 'ids', '2', 'width')} AS input_ids FROM m""")
 def t15_longest(t):
-    ids = tk.encode(t("documents"), _vocab(t), 512, side=None)
+    ids = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side=None)
     out = tk.pad_to_longest(tk.assign_batches(ids, ["doc_id"], 32), "batch")
     return _flat(out.select("doc_id", "batch", "width", "input_ids"), "input_ids")
 
@@ -217,7 +219,7 @@ def t15_longest(t):
     SELECT doc_id, batch, width::INT AS width, {_pad('right', 'ids', '2', 'width')} AS input_ids,
            {_pad('right', 'ids', '-100', 'width')} AS labels FROM m""")
 def t16(t):
-    ids = tk.encode(t("documents"), _vocab(t), 512, side=None)
+    ids = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side=None)
     out = tk.collate(tk.assign_batches(ids, ["doc_id"], 32), "batch", multiple=8)
     return _flat(out.select("doc_id", "batch", "width", "input_ids", "labels"), "input_ids", "labels")
 
@@ -230,7 +232,7 @@ def t16(t):
       WHERE length(c) >= 128)""")
 def t17(t):
     chunk = F.col("chunk")
-    return ck.chunk_stride(t("documents"), 256, 25).select(
+    return ck.chunk_stride(t.spread("documents", "doc_id"), 256, 25).select(
         "doc_id", "chunk_ix", tx.token_count(chunk).alias("n_tokens"), tx.token_message(chunk).alias("message"))
 
 
@@ -242,7 +244,7 @@ def t17(t):
     SELECT token, n, id, added FROM v UNION ALL
     SELECT token, 0, (SELECT max(id) FROM v) + r, true FROM s""")
 def t18(t):
-    return tk.build_vocab(t("documents"))
+    return tk.build_vocab(t.spread("documents", "doc_id"))
 
 
 @query("t19_strip_prefix", f"""
@@ -292,7 +294,7 @@ def t22(t):
     FROM documents""")
 def t23(t):
     text = F.col("text")
-    return t("documents").select("doc_id", tx.strip(tx.strip_accents(text)).alias("plain"), tx.tag(text).alias("tag"))
+    return t.spread("documents", "doc_id").select("doc_id", tx.strip(tx.strip_accents(text)).alias("plain"), tx.tag(text).alias("tag"))
 
 
 @query("t24_actor_key", """

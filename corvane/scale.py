@@ -50,6 +50,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Re-partition a scan that has fewer splits than the session has cores.
+
+    Small or single-row-group files would otherwise leave most cores idle during heavy
+    per-row work. A large table has more splits than cores and is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def largest_group(df: DataFrame, key: Sequence[str]) -> int:
     """Rows of the largest ``key`` group; counts are combined before the shuffle."""
     if not key:

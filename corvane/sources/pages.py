@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>"
+_HREF = r"""(?i)<a\s[^>]*?\bhref\s*=\s*["\x27]([^"\x27]*)["\x27]"""
+
+
 def extract_links(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
-    """(page, link_ix, href) of every anchor, in page order."""
-    hrefs = F.regexp_extract_all(html, F.lit(r'<a\s[^>]*?href="([^"]*)"'), F.lit(1))
-    return pages.select(key, F.posexplode(hrefs).alias("link_ix", "href"))
+    """(page, link_ix, href) of every anchor in page order; comments and scripts hold none."""
+    shown = F.regexp_replace(html, _HIDDEN, "")
+    hrefs = F.regexp_extract_all(shown, F.lit(_HREF), F.lit(1))
+    return pages.select(key, F.posexplode(hrefs).alias("link_ix", "href")).withColumn(
+        "href", F.replace("href", F.lit("&amp;"), F.lit("&")))
 
 
 def first_link(links: DataFrame, marker: str, key: str = "page_id") -> DataFrame:
