@@ -17,7 +17,7 @@ def transition_counts(tr: DataFrame) -> DataFrame:
 
 def transition_model(tr: DataFrame) -> DataFrame:
     """P(s_next given s, a) and the mean reward; a null ``s_next`` is the terminal outcome."""
-    counts = transition_counts(tr)
+    counts = materialize(transition_counts(tr), "model")
     totals = counts.groupBy("s", "a").agg(F.sum("n").alias("total"))
     return counts.join(totals, ["s", "a"]).select(
         "s", "a", "s_next", "n", (F.col("n") / F.col("total")).alias("p"), (F.col("sum_r") / F.col("n")).alias("mean_r"))
@@ -50,24 +50,22 @@ def td_mse(errors: DataFrame) -> DataFrame:
 def fitted_q(tr: DataFrame, gamma: float, rounds: int, backup: str = "max") -> DataFrame:
     """Q(s, a) after ``rounds`` backups from 0.
 
-    The log is reduced once to (s, a, s_next) counts, and every round works on that
-    table. ``max`` bootstraps with the best next action, ``same`` with the same action
+    The log is reduced once to (s, a, s_next) counts; every round reads that table and
+    writes its Q table. ``max`` bootstraps with the best next action, ``same`` with the same action
     and leaves terminal rows out.
     """
     model = transition_counts(tr if backup == "max" else tr.filter("s_next is not null"))
     model = materialize(model, "model")
     q = model.groupBy("s", "a").agg(F.lit(0.0).alias("q"))
-    for done in range(1, rounds + 1):
+    for _ in range(rounds):
         if backup == "max":
             value = q.groupBy(F.col("s").alias("s_next")).agg(F.max("q").alias("v"))
-            seen = model.join(value, "s_next", "left")
+            seen = lookup_join(model, value, ["s_next"])
         else:
             value = q.select(F.col("s").alias("s_next"), "a", F.col("q").alias("v"))
-            seen = model.join(value, ["s_next", "a"], "left")
+            seen = lookup_join(model, value, ["s_next", "a"])
         target = F.sum(F.col("sum_r") + gamma * F.col("n") * F.coalesce("v", F.lit(0.0)))
-        q = seen.groupBy("s", "a").agg((target / F.sum("n")).alias("q"))
-        if done % 5 == 0 and done < rounds:
-            q = materialize(q, "q")
+        q = materialize(seen.groupBy("s", "a").agg((target / F.sum("n")).alias("q")), "q")
     return q
 
 

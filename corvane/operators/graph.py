@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.operators.lookup import edge_costs
-from corvane.scale import lookup_join, materialize, scratch_path
+from corvane.scale import fits_broadcast, lookup_join, materialize, scratch_path
 
 MAX_ROUNDS = 1000
 
@@ -33,13 +33,13 @@ def reachable(edge: DataFrame, start: DataFrame, max_rounds: int = MAX_ROUNDS) -
         path = f"{root}/hops={hops:05d}"
         frontier.write.parquet(path)
         new = spark.read.schema(schema).parquet(path)
-        n = new.count()
+        n, fits = fits_broadcast(new)
         if n == 0:
             break
         paths.append(path)
         seen = spark.read.schema(schema).parquet(*paths)
         ids = new.select(F.col("id").alias("src"))
-        step = lookup_join(links, ids, ["src"], "left_semi", dims_rows=n).select(F.col("dst").alias("id")).distinct()
+        step = lookup_join(links, ids, ["src"], "left_semi", fits=fits).select(F.col("dst").alias("id")).distinct()
         frontier = step.join(seen.select("id"), "id", "left_anti").withColumn("hops", F.lit(hops + 1))
     else:
         raise RuntimeError(f"not finished after {max_rounds} rounds")
@@ -64,13 +64,13 @@ def least_costs(edge: DataFrame, start: str | int, max_rounds: int = MAX_ROUNDS)
         path = f"{root}/round={done:05d}"
         changed.write.parquet(path)
         here = spark.read.schema(schema).parquet(path)
-        n = here.count()
+        n, fits = fits_broadcast(here)
         if n == 0:
             break
         paths.append(path)
         best = _cheapest(spark.read.schema(schema).parquet(*paths))
         offers = lookup_join(links, here.select(F.col("id").alias("src"), F.col("cost").alias("__c"), "path"),
-                             ["src"], "inner", dims_rows=n)
+                             ["src"], "inner", fits=fits)
         chosen = _cheapest(offers.select(F.col("dst").alias("id"), (F.col("__c") + F.col("cost")).alias("cost"),
                                          F.concat("path", F.array("dst")).alias("path")))
         known = best.select("id", F.col("cost").alias("__old"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.arrays import euclid, literal_map
-from corvane.scale import BROADCAST_ROWS, lookup_join
+from corvane.scale import fits_broadcast, lookup_join
 
 
 def encode_column(df: DataFrame, name: str, table: dict) -> DataFrame:
@@ -32,8 +32,8 @@ def edge_costs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Euclidean cost of edges (src, dst) from nodes (id, x, y)."""
     a = nodes.select(F.col("id").alias("src"), F.col("x").alias("__ax"), F.col("y").alias("__ay"))
     b = nodes.select(F.col("id").alias("dst"), F.col("x").alias("__bx"), F.col("y").alias("__by"))
-    n = nodes.limit(BROADCAST_ROWS + 1).count()
-    both = lookup_join(lookup_join(edges, a, ["src"], "inner", dims_rows=n), b, ["dst"], "inner", dims_rows=n)
+    _, fits = fits_broadcast(a)
+    both = lookup_join(lookup_join(edges, a, ["src"], "inner", fits=fits), b, ["dst"], "inner", fits=fits)
     cost = euclid(F.col("__ax"), F.col("__ay"), F.col("__bx"), F.col("__by"))
     return both.withColumn("cost", cost).drop("__ax", "__ay", "__bx", "__by")
 

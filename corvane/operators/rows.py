@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as tx
 from corvane.functions.arrays import literal_map, widen
+from corvane.scale import lookup_join
 
 # Colour of a single line, and of a place on several lines.
 LINE_COLOURS = {"azul": "darkblue", "verde": "green", "vermelha": "red",
@@ -51,7 +52,7 @@ def missing(df: DataFrame, name: str = "lat") -> DataFrame:
 
 def empty_sources(sources: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
     """Sources that produced no chunk."""
-    return sources.join(chunks.select(key), key, "left_anti")
+    return sources.join(chunks.select(key).distinct(), key, "left_anti")
 
 
 def require_rows(df: DataFrame, message: str = "No text chunks were generated from the input files!") -> DataFrame:
@@ -90,11 +91,11 @@ def union_arrays(a: Column, b: Column) -> Column:
 
 def minus(df: DataFrame, seen: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key was not seen."""
-    return df.join(seen.select(*on).distinct(), list(on), "left_anti")
+    return lookup_join(df, seen.select(*on).distinct(), on, "left_anti")
 
 
 def within(df: DataFrame, members: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(members.select(*on).distinct(), list(on), "left_semi")
+    return lookup_join(df, members.select(*on).distinct(), on, "left_semi")
 
 
 def with_fn(df: DataFrame, name: str, expr: Column) -> DataFrame:

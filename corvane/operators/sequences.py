@@ -92,7 +92,7 @@ def take_until_repeat(df: DataFrame, key: Sequence[str], order: Sequence[str], v
     first = Ordered(df, key, order, rows_per_task)
     seen = first.index("__ix").lag(__prev=value).result()
     repeat = ((F.col("__ix") > 0) & F.col("__prev").eqNullSafe(F.col(value))).cast("bigint")
-    second = Ordered(seen.withColumn("__rep", repeat), key, order, rows_per_task, first.largest)
+    second = Ordered(seen.withColumn("__rep", repeat), key, order, rows_per_task, first.sizes)
     return second.running(__n=F.col("__rep")).result().filter("__n = 0").drop("__ix", "__prev", "__rep", "__n")
 
 

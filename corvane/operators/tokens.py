@@ -21,9 +21,10 @@ def build_vocab(df: DataFrame, specials: Sequence[str] = SPECIALS, text: str = "
     """Tokens with ids by (count descending, token); missing specials follow, marked ``added``."""
     counts = (df.select(F.explode(tx.words(F.col(text))).alias("token"))
               .groupBy("token").agg(F.count("*").alias("n")))
-    counts = materialize(counts.withColumn("__rank", -F.col("n")), "vocab")
+    counts = materialize(counts.select((-F.col("n")).alias("__rank"), "token"), "vocab")
     ranked = global_index(counts, ["__rank", "token"], "__ix").select(
-        "token", "n", (F.col("__ix") + first_id).cast("bigint").alias("id"), F.lit(False).alias("added"))
+        "token", (-F.col("__rank")).alias("n"), (F.col("__ix") + first_id).cast("bigint").alias("id"),
+        F.lit(False).alias("added"))
     if not specials:
         return ranked
     spark = df.sparkSession
@@ -42,8 +43,8 @@ def _padded(ids: Column, fill: Column, width: Column, side: str) -> Column:
 
 
 def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "right",
-           pad_id: int = EOS_ID, unk_id: int = UNK_ID, text: str = "text", key: str = "doc_id",
-           head: int = BROADCAST_ROWS) -> DataFrame:
+           pad_id: int = EOS_ID, unk_id: int = UNK_ID, text: str = "text",
+           key: Sequence[str] = ("doc_id",), head: int = BROADCAST_ROWS) -> DataFrame:
     """Token ids cut to ``length`` and padded, with mask and labels; ``side=None`` does not pad.
 
     ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. Its most frequent
@@ -52,7 +53,7 @@ def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "rig
     stage, and a group is one text of at most ``length`` ids.
     """
     tokens = F.slice(tx.words(F.col(text)), 1, length)
-    exploded = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
+    exploded = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
     table = vocab.select("token", "id")
     if table.count() <= head:
         known = exploded.join(F.broadcast(table), "token", "left")
@@ -64,13 +65,13 @@ def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "rig
             rare.join(table.filter(F.col("id") >= edge), "token", "left"))
     item = F.when(F.col("token").isNotNull(),
                   F.struct("pos", F.coalesce("id", F.lit(unk_id)).cast("int").alias("id")))
-    ids = (known.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-           .select(key, F.transform("__items", lambda x: x["id"]).alias("input_ids")))
+    ids = (known.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("__items"))
+           .select(*key, F.transform("__items", lambda x: x["id"]).alias("input_ids")))
     if side is None:
         return ids
     col, width = F.col("input_ids"), F.lit(length)
     return ids.select(
-        key, _padded(col, F.lit(pad_id), width, side).alias("input_ids"),
+        *key, _padded(col, F.lit(pad_id), width, side).alias("input_ids"),
         _padded(F.transform(col, lambda x: F.lit(1)), F.lit(0), width, side).alias("attention_mask"),
         _padded(col, F.lit(pad_id), width, side).alias("labels"))
 

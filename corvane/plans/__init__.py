@@ -40,9 +40,9 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def spread(self, name: str, key: str) -> DataFrame:
+    def spread(self, name: str, *key: str) -> DataFrame:
         """A table whose rows are heavy to process, over all cores."""
-        return spread(self(name), key)
+        return spread(self(name), *key)
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir.rstrip('/')}/{name}.parquet"

@@ -12,6 +12,7 @@ from corvane.operators import stats as st
 from corvane.operators import templates as tp
 from corvane.plans import query
 from corvane.plans.rows import BOARD, board, sql_map
+from corvane.scale import lookup_join, materialize
 
 
 @query("j1_encode_symbols", f"""
@@ -73,12 +74,11 @@ def places(t):
 def trade_links(t):
     customer = t("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("src"))
     supplier = t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("dst"))
-    orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(customer, "o_custkey")
-    # Lines are reduced to one row per (order, supplier nation) before they meet the orders.
-    lines = (t("lineitem").select("l_orderkey", "l_suppkey").join(supplier, "l_suppkey")
-             .groupBy("l_orderkey", "dst").agg(F.count("*").alias("m")))
-    pairs = (lines.join(orders, "l_orderkey").filter("src <> dst")
-             .groupBy("src", "dst").agg(F.sum("m").alias("n")))
+    orders = lookup_join(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), customer, ["o_custkey"], "inner")
+    lines = lookup_join(t("lineitem").select("l_orderkey", "l_suppkey"), supplier, ["l_suppkey"], "inner")
+    pairs = (lookup_join(lines, orders.select("l_orderkey", "src"), ["l_orderkey"], "inner").filter("src <> dst")
+             .groupBy("src", "dst").agg(F.count("*").alias("n")))
+    pairs = materialize(pairs, "pairs")
     mean = pairs.agg(F.avg("n").alias("m")).scalar()
     return pairs.filter(F.col("n") > mean).select("src", "dst")
 

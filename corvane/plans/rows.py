@@ -317,11 +317,11 @@ def d1(t):
     return rw.with_fn(df, "text", F.concat(F.lit("["), "role", F.lit("] "), "text")).drop("role")
 
 
-@query("d2_map_batches", "SELECT doc_id, length(text) AS n, left(text, 20) AS head FROM documents")
+@query("d2_map_batches", "SELECT doc_id, length(text) AS n, length(regexp_replace(text, '[^aeiou]', '', 'g')) AS vowels FROM documents")
 def d2(t):
     def describe(pdf):
-        return pdf[["doc_id"]].assign(n=pdf["text"].str.len(), head=pdf["text"].str[:20])
-    return rw.map_batches(t("documents").select("doc_id", "text"), describe, "doc_id long, n long, head string")
+        return pdf[["doc_id"]].assign(n=pdf["text"].str.len(), vowels=pdf["text"].str.count("[aeiou]"))
+    return rw.map_batches(t("documents").select("doc_id", "text"), describe, "doc_id long, n long, vowels long")
 
 
 @query("d3_apply_map", f"SELECT event_id, {sql_map(_TYPES)}[event_type] AS line FROM events")

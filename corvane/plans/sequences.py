@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corvane.functions import arrays as ar
 from corvane.functions import text as tx
+from corvane.operators import rows as rw
 from corvane.operators import sequences as sq
 from corvane.plans import query
+from corvane.plans.rows import BOARD, board, sql_map
+from corvane.scale import lookup_join
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
 KEY, ORDER = ["user_id"], ["ts", "event_id"]
@@ -59,6 +63,34 @@ def w2_history(t):
         seen.select("conv_id", "turn", F.array_join(lines, "\n").alias("state")), ["conv_id", "turn"])
 
 
+_CODES = f"list_transform({BOARD}, lambda x: {sql_map(ar.PIECE_CODES)}[x])"
+
+
+@query("w2_position_rows", f"""
+    SELECT 'game' || '0x' || lpad(lower(to_hex(label::BIGINT)), 3, '0') AS id, CASE WHEN i % 2 = 0 THEN 'white' ELSE 'black' END AS player,
+      (i // 2 + 1)::INT AS full_move_count, lpad(i::VARCHAR, 3, '0') AS turn_count, CASE WHEN i % 2 = 0 THEN 'W' ELSE 'B' END AS turn_color,
+      array_to_string(state, ' ') AS state, state[f + 1] AS moved_piece, f AS moved_from, g AS moved_to,
+      ((g % 8) - (f % 8))::INT AS dx, ((7 - g // 8) - (7 - f // 8))::INT AS dy
+    FROM (SELECT label, vec_id, {_CODES} AS state, (list_position(embedding, list_max(embedding)) - 1)::INT AS f,
+            (list_position(embedding, list_min(embedding)) - 1)::INT AS g,
+            row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i FROM embeddings)""")
+def w2_positions(t):
+    """Boards in order as position rows: the vectors of a label are one game, the move goes
+    from the largest to the smallest value."""
+    e = F.col("embedding")
+    codes = ar.encode_symbols(board(), ar.PIECE_CODES)
+    at_max, at_min = F.array_position(e, F.array_max(e)) - 1, F.array_position(e, F.array_min(e)) - 1
+    move = F.struct(F.get(codes, at_max.cast("int")).alias("moved_piece"), at_max.cast("int").alias("moved_from"),
+                    at_min.cast("int").alias("moved_to"))
+    rows = t("embeddings").select("label", "vec_id", codes.alias("state"), move.alias("move"))
+    turns = rw.flatten_struct(sq.turn_index(rows, ["label"], ["vec_id"]), "move")
+    way = ar.delta(ar.square_xy(F.col("moved_from"), "W"), ar.square_xy(F.col("moved_to"), "W"))
+    return turns.select(
+        tx.hex_id(F.lit("game"), F.col("label")).alias("id"), F.when(F.col("turn_color") == "W", "white").otherwise("black").alias("player"),
+        "full_move_count", tx.zfill(F.col("turn_count"), 3).alias("turn_count"), "turn_color",
+        F.array_join("state", " ").alias("state"), "moved_piece", "moved_from", "moved_to", way[0].alias("dx"), way[1].alias("dy"))
+
+
 @query("w3_terminal_rows", f"""{_STEPS} UNION ALL
     SELECT user_id, count(*)::INT, {_FINAL}, NULL, NULL FROM events GROUP BY user_id""")
 def w3(t):
@@ -85,9 +117,9 @@ def station_lines(t):
     """Suppliers as stations, each on the line of its nation and the line of its region."""
     s = t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("double").alias("x"),
                              F.col("s_acctbal").alias("y"), "s_nationkey")
-    n = F.broadcast(t("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey"))
+    n = t("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey")
     lines = F.array("n_name", F.concat(F.lit("region "), F.col("n_regionkey").cast("string")))
-    return s.join(n, "s_nationkey").select("id", "x", "y", F.explode(lines).alias("line"))
+    return lookup_join(s, n, ["s_nationkey"], "inner").select("id", "x", "y", F.explode(lines).alias("line"))
 
 
 STATIONS = """stations AS (SELECT s_suppkey AS id, s_nationkey::DOUBLE AS x, s_acctbal AS y,

@@ -30,7 +30,7 @@ def _docx(text):
 @query("s1_scan_corpus", "SELECT lang, count(*) AS n_rows, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY lang")
 def s1(t):
     path = scratch_path(t.spark, "corpus")
-    t("documents").select("doc_id", "lang", "n_chars").write.partitionBy("lang").json(path)
+    t("documents").select("doc_id", "lang", "n_chars").write.partitionBy("lang").option("maxRecordsPerFile", 100_000).json(path)
     found = files.scan_corpus(t.spark, path, "*.json", recursive=True)
     lines = found.select(F.regexp_extract("path", "lang=(\\w+)", 1).alias("lang"),
                          F.explode(F.split(F.rtrim(F.col("content").cast("string")), "\n")).alias("line"))

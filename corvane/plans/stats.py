@@ -156,7 +156,7 @@ def _rouge_sql(n: int) -> str:
 
 
 def _pairs(t):
-    return spread(_turn_pairs(t), "conv_id").select("conv_id", "turn", F.col("question").alias("prediction"), F.col("answer").alias("reference"))
+    return spread(_turn_pairs(t), "conv_id", "turn").select("conv_id", "turn", F.col("question").alias("prediction"), F.col("answer").alias("reference"))
 
 
 @query("a11_rouge_1", _rouge_sql(1))

@@ -11,7 +11,8 @@ from corvane.streaming import state as ss
 
 
 def _stream(t, name):
-    return t.spark.readStream.schema(t(name).schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.sf_dir)
+    """Files of the table as a stream; a micro-batch is limited, so no key brings more than that at once."""
+    return t.spark.readStream.schema(t(name).schema).option("maxBytesPerTrigger", 512 * 2 ** 20).option("pathGlobFilter", f"{name}.parquet").parquet(t.sf_dir)
 
 
 @query("st1_running_state", RUNNING)

@@ -70,7 +70,14 @@ def t4(t):
     return ck.qa_windows(t.spread("documents", "doc_id"))
 
 
-@query("t5_chunk_merge")
+@query("t5_chunk_merge", f"""
+    SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS chunk_ix, chunk FROM (
+      SELECT doc_id, i, {_strip('c[i]')} AS chunk FROM (
+        SELECT doc_id, c, unnest(range(1, len(c) + 1)) AS i FROM (
+          SELECT doc_id, list_reduce(list_filter(string_split(text, chr(10)), lambda p: p <> ''), lambda acc, p:
+            CASE WHEN len(acc) > 0 AND length(acc[-1]) + 1 + length(p) <= 1000
+              THEN list_append(acc[1:-2], acc[-1] || chr(10) || p) ELSE list_append(acc, p) END, []::VARCHAR[]) AS c
+          FROM documents))) WHERE chunk <> ''""")
 def t5(t):
     return ck.chunk_merge(t.spread("documents", "doc_id"), sep="\n", limit=1000)
 
@@ -124,10 +131,10 @@ _PAIRS = """(SELECT a.conv_id, a.turn, a.text AS question, b.text AS answer
 
 
 @query("t10_to_messages", f"""
-    SELECT conv_id, turn, 'user' AS first_role, question || chr(10) || ' Input: ' || left(answer, 80) AS first_content,
+    SELECT conv_id, turn, 'user' AS first_role, question || chr(10) || ' Input: ' || answer AS first_content,
            'assistant' AS last_role, answer AS last_content FROM {_PAIRS}""")
 def t10(t):
-    messages = tp.to_messages(F.col("question"), F.left("answer", F.lit(80)), F.col("answer"))
+    messages = tp.to_messages(F.col("question"), F.col("answer"), F.col("answer"))
     first, last = F.element_at("messages", 1), F.element_at("messages", -1)
     return _turn_pairs(t).select("conv_id", "turn", messages.alias("messages")).select(
         "conv_id", "turn", first["role"].alias("first_role"), first["content"].alias("first_content"),
@@ -197,6 +204,31 @@ def t14(t):
     return _flat(out, "input_ids", "attention_mask", "labels")
 
 
+_CHUNKS = f"""(SELECT doc_id, i::INT AS chunk_ix, substr(clean, s, e - s + 1) AS text FROM (
+      SELECT doc_id, clean, i, i*512 - (CASE WHEN i > 0 THEN 50 ELSE 0 END) + 1 AS s, (i+1)*512 AS e FROM (
+        SELECT doc_id, clean, unnest(range(0, (length(clean) + 511)//512)) AS i FROM (
+          SELECT doc_id, regexp_replace(regexp_replace(text, '\\n{{2,}}', chr(10), 'g'), '{WS}{{2,}}', ' ', 'g') AS clean FROM documents)))
+    WHERE length(substr(clean, s, e - s + 1)) >= 256)"""
+
+
+@query("t14_training_rows", f"""
+    WITH chunks AS {_CHUNKS},
+    vocab AS (SELECT w AS token, row_number() OVER (ORDER BY count(*) DESC, w) + 2 AS id
+              FROM (SELECT unnest({_words('text')}) AS w FROM chunks) GROUP BY w),
+    toks AS (SELECT doc_id, chunk_ix, unnest(({_words('text')})[1:128]) AS w,
+                    generate_subscripts(({_words('text')})[1:128], 1) AS p FROM chunks),
+    ids AS (SELECT doc_id, chunk_ix, list(id ORDER BY p) AS ids FROM toks JOIN vocab ON token = w GROUP BY ALL)
+    SELECT doc_id, chunk_ix, {_pad('right', 'ids', '2', '128')} AS input_ids, len(ids)::INT AS n_tokens FROM ids""")
+def t14_rows(t):
+    """Documents cleaned, cut, and encoded to rows of 128 ids."""
+    docs = t.spread("documents", "doc_id").withColumn("text", tx.clean_ws(F.col("text")))
+    chunks = materialize(ck.chunk_lookback(docs, 512, 50).withColumnRenamed("chunk", "text"), "chunks")
+    vocab = materialize(tk.build_vocab(chunks, specials=()), "vocab")
+    rows = tk.encode(chunks, vocab, 128, key=("doc_id", "chunk_ix"))
+    used = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens")
+    return _flat(rows.select("doc_id", "chunk_ix", "input_ids", used), "input_ids")
+
+
 @query("t15_encode_left", _encode_sql("left"))
 def t15(t):
     out = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side="left")

@@ -9,13 +9,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 4_000_000
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 2 ** 20
 HOT_KEYS = 10_000
+MAX_RANGES = 50_000
 _BUCKETS = 4096
 _COLLECT_ROWS = 10_000
 _PART = "__part"
@@ -50,29 +54,45 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Re-partition a scan that has fewer splits than the session has cores.
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Re-partition a scan that has fewer splits than the session has cores by its unique key.
 
     Small or single-row-group files would otherwise leave most cores idle during heavy
     per-row work. A large table has more splits than cores and is returned unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
 
 
-def largest_group(df: DataFrame, key: Sequence[str]) -> int:
-    """Rows of the largest ``key`` group; counts are combined before the shuffle."""
+def group_sizes(df: DataFrame, key: Sequence[str]) -> tuple[int, int]:
+    """(all rows, rows of the largest ``key`` group); counts are combined before the shuffle."""
     if not key:
-        return df.count()
-    top = df.groupBy(*key).agg(F.count("*").alias("__n")).agg(F.max("__n").alias("m")).first()
-    return top["m"] or 0
-
-
-def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
+        n = df.count()
+        return n, n
+    counts = df.groupBy(*key).agg(F.count("*").alias("__n"))
+    row = counts.agg(F.sum("__n").alias("n"), F.max("__n").alias("top")).first()
+    return row["n"] or 0, row["top"] or 0
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Rough bytes of a row: 8 per plain value, the text length of strings and nested values."""
+    size = F.lit(0).cast("bigint")
+    for field in df.schema:
+        col, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            size = size + 8 + F.coalesce(F.octet_length(col), F.lit(0))
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + 8 + F.coalesce(F.length(F.to_json(F.struct(col))), F.lit(0))
+        else:
+            size = size + 8
+    return size
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[int, bool]:
+    """(rows, whether all of ``df`` may be broadcast); counting stops above ``max_rows``."""
+    head = df.limit(max_rows + 1).select(_row_bytes(df).alias("b"))
+    row = head.agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
+    return row["n"], row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
 class Ordered:
@@ -86,13 +106,14 @@ class Ordered:
     """
 
     def __init__(self, df: DataFrame, key: Sequence[str], order: Sequence[str],
-                 rows_per_task: int = ROWS_PER_TASK, largest: int | None = None):
+                 rows_per_task: int = ROWS_PER_TASK, sizes: tuple[int, int] | None = None):
         self.key, self.order = list(key), list(order)
-        self.largest = largest_group(df, self.key) if largest is None else largest
-        self.split = self.largest > rows_per_task
+        self.sizes = group_sizes(df, self.key) if sizes is None else sizes
+        rows, largest = self.sizes
+        self.split = largest > rows_per_task
         if self.split:
             parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                        -(-self.largest // rows_per_task) * 3)
+                        min(MAX_RANGES, -(-rows // rows_per_task)))
             df = materialize(
                 df.repartitionByRange(parts, *self.key, *self.order)
                 .withColumn(_PART, F.spark_partition_id()), "ranges")
@@ -244,24 +265,33 @@ def uniform(*cols: str | Column, seed: int) -> Column:
 
 def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "left",
                 broadcast_rows: int = BROADCAST_ROWS, rows_per_task: int = ROWS_PER_TASK,
-                dims_rows: int | None = None) -> DataFrame:
+                fits: bool | None = None) -> DataFrame:
     """Join a fact side of any skew to ``dims``, which is unique on ``on``.
 
-    ``dims`` is broadcast only when counted to be small. Otherwise the rows of hot
-    keys meet a broadcast of their few ``dims`` rows and all others are shuffled.
-    ``dims_rows`` is its row count where the caller already knows it.
+    ``dims`` is broadcast only when measured to be small (``fits`` passes on an earlier
+    measurement). Otherwise rows without a key, which match nothing, skip the join; the
+    rows of hot keys meet a broadcast of the few ``dims`` rows they need; the rest is
+    shuffled.
     """
     on = list(on)
-    if dims_rows is None:
-        dims_rows = dims.limit(broadcast_rows + 1).count()
-    if dims_rows <= broadcast_rows:
+    if fits is None:
+        fits = fits_broadcast(dims, broadcast_rows)[1]
+    if fits:
         return facts.join(F.broadcast(dims), on, how)
-    floor = max(rows_per_task, facts.count() // HOT_KEYS)
-    hot = facts.groupBy(*on).count().filter(F.col("count") > floor).select(*on)
+    keyed, keyless = facts.dropna(subset=on), facts.filter(~_all_present(on))
+    rows = facts.count()
+    hot = keyed.groupBy(*on).count().filter(F.col("count") > max(rows_per_task, rows // HOT_KEYS)).select(*on)
     hot = materialize(hot, "hot")
     if hot.isEmpty():
-        return facts.join(dims, on, how)
-    hot_dims = dims.join(F.broadcast(hot), on, "left_semi")
-    hot_rows = facts.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_dims), on, how)
-    cold_rows = facts.join(F.broadcast(hot), on, "left_anti").join(dims, on, how)
-    return hot_rows.unionByName(cold_rows)
+        out = keyed.join(dims, on, how)
+    else:
+        hot_dims = dims.join(F.broadcast(hot), on, "left_semi")
+        hot_rows = keyed.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_dims), on, how)
+        out = hot_rows.unionByName(keyed.join(F.broadcast(hot), on, "left_anti").join(dims, on, how))
+    if how in ("left", "left_anti"):
+        out = out.unionByName(keyless, allowMissingColumns=True)
+    return out
+
+
+def _all_present(cols: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in cols])
