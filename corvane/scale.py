@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_TASK = 4_000_000
+ROWS_PER_TASK = 1_000_000
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 2 ** 20
 HOT_KEYS = 10_000
-MAX_RANGES = 50_000
+MAX_RANGES = 10_000
 _BUCKETS = 4096
 _COLLECT_ROWS = 10_000
 _PART = "__part"
