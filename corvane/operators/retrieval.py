@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from corvane.scale import materialize
 
-# Largest query matrix sent to every task, and largest corpus block of the grid, in values.
+# Largest query matrix sent to every task, largest corpus block of the grid, and largest
+# score matrix held at once, in values.
 QUERY_VALUES = 4_000_000
 BLOCK_VALUES = 16_000_000
+SCORE_VALUES = 8_000_000
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -48,18 +50,25 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def _search(batches: Iterator[pd.DataFrame], qids: np.ndarray, queries: np.ndarray, k: int,
             metric: str) -> pd.DataFrame:
     """The k nearest rows per query over all batches of one task."""
-    best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, dtype=object))] * len(qids)
+    best = [(np.empty(0), np.empty(0, dtype=object))] * len(qids)
+    edge = np.full(len(qids), -np.inf)          # k-th best score so far
     for pdf in batches:
         pdf = pdf[pdf["__v"].notna()]
         if pdf.empty:
             continue
-        ids = pdf["__id"].to_numpy()
-        scores = _scores(queries, _matrix(pdf["__v"]), metric)
-        for i in range(len(qids)):
-            held_scores = np.concatenate([best[i][0], scores[i]])
-            held_ids = np.concatenate([best[i][1], ids]) if len(best[i][1]) else ids
-            top = _best(held_scores, held_ids, k)
-            best[i] = (held_scores[top], held_ids[top])
+        ids, vectors = pdf["__id"].to_numpy(), _matrix(pdf["__v"])
+        step = max(1, SCORE_VALUES // len(ids))
+        for first in range(0, len(qids), step):
+            scores = _scores(queries[first:first + step], vectors, metric)
+            better = np.flatnonzero(scores.max(axis=1) >= edge[first:first + step])
+            for j in better:
+                i = first + j
+                held = np.concatenate([best[i][0], scores[j]])
+                held_ids = np.concatenate([best[i][1], ids])
+                top = _best(held, held_ids, k)
+                best[i] = (held[top], held_ids[top])
+                if len(top) == k:
+                    edge[i] = held[top[-1]]
     return pd.DataFrame({
         "__q": np.repeat(qids, [len(b[0]) for b in best]),
         "__id": np.concatenate([b[1] for b in best]) if best else [],

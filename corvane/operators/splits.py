@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from corvane.scale import hash_key, nth_smallest
 
-_HEAP_ROWS = 100_000
+# A sample up to this size is a top-n; every task hands on that many rows.
+_HEAP_ROWS = 1_000
 
 
 def sort_by_latest(df: DataFrame, years: str, name: str) -> DataFrame:

@@ -240,7 +240,7 @@ def t15(t):
     m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS width FROM b)
     SELECT doc_id, batch, width::INT AS width, {_pad('right', 'ids', '2', 'width')} AS input_ids FROM m""")
 def t15_longest(t):
-    ids = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side=None)
+    ids = materialize(tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side=None), "ids")
     out = tk.pad_to_longest(tk.assign_batches(ids, ["doc_id"], 32), "batch")
     return _flat(out.select("doc_id", "batch", "width", "input_ids"), "input_ids")
 
@@ -251,7 +251,7 @@ def t15_longest(t):
     SELECT doc_id, batch, width::INT AS width, {_pad('right', 'ids', '2', 'width')} AS input_ids,
            {_pad('right', 'ids', '-100', 'width')} AS labels FROM m""")
 def t16(t):
-    ids = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side=None)
+    ids = materialize(tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side=None), "ids")
     out = tk.collate(tk.assign_batches(ids, ["doc_id"], 32), "batch", multiple=8)
     return _flat(out.select("doc_id", "batch", "width", "input_ids", "labels"), "input_ids", "labels")
 

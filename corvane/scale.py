@@ -20,6 +20,7 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 2 ** 20
 HOT_KEYS = 10_000
 MAX_RANGES = 10_000
+SALTS = 256
 _BUCKETS = 4096
 _COLLECT_ROWS = 10_000
 _PART = "__part"
@@ -89,9 +90,8 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[int, bool]:
-    """(rows, whether all of ``df`` may be broadcast); counting stops above ``max_rows``."""
-    head = df.limit(max_rows + 1).select(_row_bytes(df).alias("b"))
-    row = head.agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
+    """(rows, whether all of ``df`` may be broadcast), from one aggregate over it."""
+    row = df.select(_row_bytes(df).alias("b")).agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
     return row["n"], row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
@@ -264,8 +264,8 @@ def uniform(*cols: str | Column, seed: int) -> Column:
 
 
 def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "left",
-                broadcast_rows: int = BROADCAST_ROWS, rows_per_task: int = ROWS_PER_TASK,
-                fits: bool | None = None) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
+                rows_per_task: int = ROWS_PER_TASK, fits: bool | None = None) -> DataFrame:
     """Join a fact side of any skew to ``dims``, which is unique on ``on``.
 
     ``dims`` is broadcast only when measured to be small (``fits`` passes on an earlier
@@ -275,7 +275,7 @@ def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str =
     """
     on = list(on)
     if fits is None:
-        fits = fits_broadcast(dims, broadcast_rows)[1]
+        fits = fits_broadcast(dims, broadcast_rows, broadcast_bytes)[1]
     if fits:
         return facts.join(F.broadcast(dims), on, how)
     keyed, keyless = facts.dropna(subset=on), facts.filter(~_all_present(on))
@@ -286,8 +286,15 @@ def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str =
         out = keyed.join(dims, on, how)
     else:
         hot_dims = dims.join(F.broadcast(hot), on, "left_semi")
-        hot_rows = keyed.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_dims), on, how)
-        out = hot_rows.unionByName(keyed.join(F.broadcast(hot), on, "left_anti").join(dims, on, how))
+        hot_rows = keyed.join(F.broadcast(hot), on, "left_semi")
+        if fits_broadcast(hot_dims, HOT_KEYS, broadcast_bytes)[1]:
+            hot_out = hot_rows.join(F.broadcast(hot_dims), on, how)
+        else:  # few but wide rows: each goes to every salt, the facts to one
+            salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
+            every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+            hot_out = hot_rows.withColumn("__salt", salt).join(
+                hot_dims.withColumn("__salt", every), [*on, "__salt"], how).drop("__salt")
+        out = hot_out.unionByName(keyed.join(F.broadcast(hot), on, "left_anti").join(dims, on, how))
     if how in ("left", "left_anti"):
         out = out.unionByName(keyless, allowMissingColumns=True)
     return out

@@ -63,6 +63,7 @@ def test_lookup_join_paths_agree(spark, skewed):
         assert rows(scale.lookup_join(skewed, dims, ["k"], how)) == want
         assert rows(scale.lookup_join(skewed, dims, ["k"], how, broadcast_rows=1, rows_per_task=100)) == want
         assert rows(scale.lookup_join(skewed, dims, ["k"], how, broadcast_rows=1)) == want
+        assert rows(scale.lookup_join(skewed, dims, ["k"], how, broadcast_bytes=1, rows_per_task=100)) == want
 
 
 @pytest.mark.parametrize("values", [list(range(1, 200)), [5] * 30 + [7] * 3, [-2 ** 40, 0, 3, 2 ** 59], [9]])
