@@ -44,27 +44,10 @@ def trajectory(df: DataFrame, key: Sequence[str], order: Sequence[str], action:
     return steps.unionByName(final.select(*key, "step", state, *null))
 
 
-def recent(df: DataFrame, key: Sequence[str], position: str, last: int, cols: Sequence[str],
-           include_self: bool = False, out: str = "history") -> DataFrame:
-    """The ``last`` rows before each row (or up to it), oldest first, as an array of structs.
-
-    ``position`` is a dense integer order. Every row is sent to the steps that see it,
-    so a group never exceeds ``last + 1`` rows and long threads stay spread.
-    """
-    first = 0 if include_self else 1
-    reach = F.sequence(F.lit(first), F.lit(last - 1 if include_self else last))
-    item = F.struct(F.col(position).alias("__p"), *cols)
-    own = F.col("__d") == 0
-    base = df.select(*key, position, *cols)
-    seen = base.select(*key, F.explode(reach).alias("__d"), (F.col(position) + F.col("__d")).alias("__at"), item.alias("__item"))
-    mark = base.select(*key, F.col(position).alias("__at"), F.lit(True).alias("__real"))
-    sent = seen.withColumn("__real", own) if include_self else seen.select(
-        *key, "__at", "__item", F.lit(False).alias("__real")).unionByName(
-        mark.withColumn("__item", F.lit(None).cast(seen.schema["__item"].dataType)))
-    grouped = sent.groupBy(*key, "__at").agg(
-        F.array_sort(F.collect_list("__item")).alias("__items"), F.max("__real").alias("__real"))
-    strip = F.transform("__items", lambda x: F.struct(*[x[c].alias(c) for c in cols]))
-    return grouped.filter("__real").select(*key, F.col("__at").alias(position), strip.alias(out))
+def recent(df: DataFrame, key: Sequence[str], order: Sequence[str], last: int, cols: Sequence[str],
+           include_self: bool = False, out: str = "history", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Add the ``last`` rows before each row (or up to it), oldest first, as an array of structs."""
+    return Ordered(df, key, order, rows_per_task).history(out, cols, last, include_self).result()
 
 
 def running_state(df: DataFrame, key: Sequence[str], order: Sequence[str], role: str, text: str,

@@ -56,11 +56,9 @@ def w2(t):
     FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn < a.turn AND b.turn >= a.turn - 4
     GROUP BY a.conv_id, a.turn, a.role""")
 def w2_history(t):
-    turns = t("conversations")
-    seen = sq.recent(turns, ["conv_id"], "turn", 4, ["role", "text"])
+    seen = sq.recent(t("conversations"), ["conv_id"], ["turn"], 4, ["role", "text"])
     lines = F.transform("history", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
-    return turns.select("conv_id", "turn", "role").join(
-        seen.select("conv_id", "turn", F.array_join(lines, "\n").alias("state")), ["conv_id", "turn"])
+    return seen.select("conv_id", "turn", "role", F.array_join(lines, "\n").alias("state"))
 
 
 _CODES = f"list_transform({BOARD}, lambda x: {sql_map(ar.PIECE_CODES)}[x])"
@@ -181,6 +179,6 @@ def w11(t):
     FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn BETWEEN a.turn - 7 AND a.turn
     GROUP BY a.conv_id, a.turn""")
 def w11_recent(t):
-    seen = sq.recent(t("conversations"), ["conv_id"], "turn", 8, ["role", "text"], include_self=True)
+    seen = sq.recent(t("conversations"), ["conv_id"], ["turn"], 8, ["role", "text"], include_self=True)
     lines = F.transform("history", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
     return seen.select("conv_id", "turn", F.array_join(lines, "\n").alias("messages"))

@@ -122,6 +122,7 @@ class Ordered:
         self._lag: dict[str, str] = {}
         self._lead: dict[str, str] = {}
         self._sums: dict[str, tuple[Column, bool]] = {}
+        self._past: dict[str, tuple[list[str], int, bool]] = {}
 
     def index(self, name: str) -> "Ordered":
         """0-based position of the row in its key."""
@@ -144,6 +145,11 @@ class Ordered:
             self._sums[name] = (expr, inclusive)
         return self
 
+    def history(self, name: str, cols: Sequence[str], last: int, include_self: bool = False) -> "Ordered":
+        """Array of structs of the ``last`` rows before the row (or up to it), oldest first."""
+        self._past[name] = (list(cols), last - 1 if include_self else last, include_self)
+        return self
+
     def result(self) -> DataFrame:
         group = self.key + ([_PART] if self.split else [])
         w = Window.partitionBy(*group).orderBy(*self.order)
@@ -158,12 +164,24 @@ class Ordered:
             frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
             total = F.sum(expr).over(frame)
             local[name] = total if inclusive else F.coalesce(total, F.lit(0).cast("bigint"))
+        for name, (cols, past, include_self) in self._past.items():
+            frame = w.rowsBetween(-past, 0 if include_self else -1)
+            local[name] = F.collect_list(F.struct(*cols)).over(frame)
         if not self.split:
             return self.df.withColumns(local)
-        edge = {**{f"__is_first": F.lag(F.lit(1)).over(w).isNull()},
-                **{f"__is_last": F.lead(F.lit(1)).over(w).isNull()}}
+        edge = {"__at": F.row_number().over(w) - 1, "__is_last": F.lead(F.lit(1)).over(w).isNull()}
         return self._carry(self.df.withColumns({**local, **edge}))
 
+    def _tails(self, name: str) -> DataFrame:
+        """The last rows of each (key, range) that the next range may need."""
+        cols, past, _ = self._past[name]
+        group = [*self.key, _PART]
+        back = Window.partitionBy(*group).orderBy(*[F.desc(c) for c in self.order])
+        kept = self.df.select(*group, F.struct(*self.order).alias("__o"), F.struct(*cols).alias("__s"), *self.order) \
+            .withColumn("__r", F.row_number().over(back)).filter(F.col("__r") <= past)
+        items = F.array_sort(F.collect_list(F.struct("__o", "__s")))
+        return kept.groupBy(*group).agg(F.transform(items, lambda x: x["__s"]).alias(f"__tail_{name}"))
+
     def _carry(self, local: DataFrame) -> DataFrame:
         at = F.struct(*self.order)
         aggs = [F.count("*").alias("__rows")]
@@ -171,6 +189,11 @@ class Ordered:
         aggs += [F.max_by(F.struct(c), at).alias(f"__end_{n}") for n, c in self._lag.items()]
         aggs += [F.min_by(F.struct(c), at).alias(f"__end_{n}") for n, c in self._lead.items()]
         keyed = self.df.groupBy(*self.key, _PART).agg(*aggs)
+        for n, (_, past, _) in self._past.items():
+            if past:
+                tails = self._tails(n)
+                same = reduce(Column.__and__, [keyed[c].eqNullSafe(tails[c]) for c in [*self.key, _PART]])
+                keyed = keyed.join(tails, same).select(keyed["*"], f"__tail_{n}")
         per_key = Window.partitionBy(*self.key)
         ordered = per_key.orderBy(_PART)
         before = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -181,6 +204,10 @@ class Ordered:
             carried[f"__edge_{n}"] = F.lag(f"__end_{n}").over(ordered)
         for n in self._lead:
             carried[f"__edge_{n}"] = F.lead(f"__end_{n}").over(ordered)
+        for n, (_, past, _) in self._past.items():
+            if past:  # every earlier range holds at least one row of the key
+                near = F.flatten(F.collect_list(f"__tail_{n}").over(ordered.rowsBetween(-past, -1)))
+                carried[f"__prior_{n}"] = near
         # Only keys that cross a cut need a carry: at most two per range.
         carry = (keyed.withColumn("__parts", F.count("*").over(per_key))
                  .withColumns(carried).filter("__parts > 1")
@@ -189,17 +216,24 @@ class Ordered:
         cond = F.col(_PART) == F.col("__k_part")
         for k in self.key:
             cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-        out = local.join(F.broadcast(carry), cond, "left")
+        # With history the carry holds whole rows, so its size is left to the optimizer.
+        out = local.join(carry if self._past else F.broadcast(carry), cond, "left")
         fixed: dict[str, Column] = {}
         for n in self._index:
             fixed[n] = (F.col(n) + F.coalesce("__before", F.lit(0))).cast("int")
         for n, c in self._lag.items():
-            fixed[n] = F.when(F.col("__is_first"), F.col(f"__edge_{n}")[c]).otherwise(F.col(n))
+            fixed[n] = F.when(F.col("__at") == 0, F.col(f"__edge_{n}")[c]).otherwise(F.col(n))
         for n, c in self._lead.items():
             fixed[n] = F.when(F.col("__is_last"), F.col(f"__edge_{n}")[c]).otherwise(F.col(n))
         for n in self._sums:
             fixed[n] = F.col(n) + F.coalesce(F.col(f"__add_{n}"), F.lit(0))
-        keep = [c for c in local.columns if c not in (_PART, "__is_first", "__is_last")]
+        for n, (_, past, _) in self._past.items():
+            if past:
+                prior, short = F.col(f"__prior_{n}"), F.lit(past) - F.col("__at")
+                first = F.greatest(F.size(prior) - short, F.lit(0)) + 1
+                fixed[n] = F.when((short > 0) & prior.isNotNull(), F.concat(F.slice(prior, first, short), F.col(n))) \
+                    .otherwise(F.col(n))
+        keep = [c for c in local.columns if c not in (_PART, "__at", "__is_last")]
         return out.withColumns(fixed).select(*keep)
 
 

@@ -142,12 +142,33 @@ def test_top_k_grid_equals_scan_and_brute_force(spark, metric):
 
 def test_recent_window(spark):
     df = spark.createDataFrame([(1, i, f"m{i}") for i in range(6)] + [(2, 0, "x")], "c int, p int, m string").repartition(3)
-    got = {(r["c"], r["p"]): [x["m"] for x in r["history"]] for r in sq.recent(df, ["c"], "p", 2, ["m"]).collect()}
+    got = {(r["c"], r["p"]): [x["m"] for x in r["history"]] for r in sq.recent(df, ["c"], ["p"], 2, ["m"]).collect()}
     assert got == {(1, i): [f"m{j}" for j in range(max(0, i - 2), i)] for i in range(6)} | {(2, 0): []}
-    with_self = {(r["c"], r["p"]): [x["m"] for x in r["history"]] for r in sq.recent(df, ["c"], "p", 2, ["m"], True).collect()}
+    with_self = {(r["c"], r["p"]): [x["m"] for x in r["history"]] for r in sq.recent(df, ["c"], ["p"], 2, ["m"], True).collect()}
     assert with_self == {(1, i): [f"m{j}" for j in range(max(0, i - 1), i + 1)] for i in range(6)} | {(2, 0): ["x"]}
 
 
+@pytest.mark.parametrize("last,include_self", [(1, False), (1, True), (7, False), (7, True), (40, False)])
+def test_recent_window_when_split(skewed, last, include_self):
+    got = sq.recent(skewed, ["k"], ["t", "id"], last, ["id", "v"], include_self, rows_per_task=25)
+    want = sq.recent(skewed, ["k"], ["t", "id"], last, ["id", "v"], include_self)
+    assert rows(got) == rows(want)
+
+
 def test_prefix_limits_before_the_shuffle(spark, skewed):
     plan = sq.prefix(skewed, ["k"], ["t", "id"], 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_search_in_small_score_blocks(monkeypatch):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(1)
+    vecs = rng.normal(size=(60, 4)).round(1)
+    batches = [pd.DataFrame({"__id": range(i, i + 20), "__v": list(vecs[i:i + 20])}) for i in (0, 20, 40)]
+    whole = rt._search(iter(batches), np.arange(9), vecs[:9], 5, "l2")
+    monkeypatch.setattr(rt, "SCORE_VALUES", 40)
+    assert rt._search(iter(batches), np.arange(9), vecs[:9], 5, "l2").equals(whole)
+    for q in range(9):
+        want = sorted((((vecs[q] - v) ** 2).sum().round(9), i) for i, v in enumerate(vecs))[:5]
+        assert list(whole[whole["__q"] == q]["__id"]) == [i for _, i in want]
