@@ -20,7 +20,7 @@ def turn_index(df: DataFrame, key: Sequence[str], order: Sequence[str], name: st
     """0-based turn, full-move number (two turns each) and the colour to move."""
     out = Ordered(df, key, order, rows_per_task).index(name).result()
     return out.withColumns({
-        "full_move_count": (F.floor(F.col(name) / 2) + 1).cast("int"),
+        "full_move_count": F.expr(f"{name} div 2 + 1"),
         "turn_color": F.when(F.col(name) % 2 == 0, "W").otherwise("B")})
 
 
@@ -39,7 +39,7 @@ def trajectory(df: DataFrame, key: Sequence[str], order: Sequence[str], action:
     steps = steps.select(*key, "step", state, F.col(action).alias("action"), *keep)
     if not terminal:
         return steps
-    final = df.groupBy(*key).agg(F.count("*").cast("int").alias("step"), *[F.sum(e).alias(n) for n, e in flags.items()])
+    final = df.groupBy(*key).agg(F.count("*").alias("step"), *[F.sum(e).alias(n) for n, e in flags.items()])
     null = [F.lit(None).cast(steps.schema[c].dataType).alias(c) for c in ("action", *keep)]
     return steps.unionByName(final.select(*key, "step", state, *null))
 

@@ -56,13 +56,13 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Re-partition a scan that has fewer splits than the session has cores by its unique key.
+    """Re-partition by its unique key a scan with at most half as many splits as the session has cores.
 
     Small or single-row-group files would otherwise leave most cores idle during heavy
-    per-row work. A large table has more splits than cores and is returned unchanged.
+    per-row work. A large table has more splits and is returned unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() <= cores // 2 else df
 
 
 def group_sizes(df: DataFrame, key: Sequence[str]) -> tuple[int, int]:
@@ -155,7 +155,7 @@ class Ordered:
         w = Window.partitionBy(*group).orderBy(*self.order)
         local: dict[str, Column] = {}
         for name in self._index:
-            local[name] = F.row_number().over(w) - 1
+            local[name] = (F.row_number().over(w) - 1).cast("bigint")
         for name, old in self._lag.items():
             local[name] = F.lag(old).over(w)
         for name, old in self._lead.items():
@@ -220,7 +220,7 @@ class Ordered:
         out = local.join(carry if self._past else F.broadcast(carry), cond, "left")
         fixed: dict[str, Column] = {}
         for n in self._index:
-            fixed[n] = (F.col(n) + F.coalesce("__before", F.lit(0))).cast("int")
+            fixed[n] = F.col(n) + F.coalesce("__before", F.lit(0))
         for n, c in self._lag.items():
             fixed[n] = F.when(F.col("__at") == 0, F.col(f"__edge_{n}")[c]).otherwise(F.col(n))
         for n, c in self._lead.items():
@@ -247,7 +247,7 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "ix",
     narrow = Ordered(df.select(*order), [], order, rows_per_task).index(name).result()
     if set(df.columns) == set(order):
         return narrow
-    return df.join(narrow.withColumn(name, F.col(name).cast("bigint")), order)
+    return df.join(narrow, order)
 
 
 def _bounds(df: DataFrame) -> tuple[int, int, int]:
@@ -313,8 +313,9 @@ def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str =
     if fits:
         return facts.join(F.broadcast(dims), on, how)
     keyed, keyless = facts.dropna(subset=on), facts.filter(~_all_present(on))
-    rows = facts.count()
-    hot = keyed.groupBy(*on).count().filter(F.col("count") > max(rows_per_task, rows // HOT_KEYS)).select(*on)
+    # Any key past the first HOT_KEYS holds less than one HOT_KEYS-th of the rows.
+    hot = (keyed.groupBy(*on).count().filter(F.col("count") > rows_per_task)
+           .orderBy(F.desc("count")).limit(HOT_KEYS).select(*on))
     hot = materialize(hot, "hot")
     if hot.isEmpty():
         out = keyed.join(dims, on, how)

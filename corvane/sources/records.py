@@ -23,15 +23,17 @@ def moves(text: Column) -> Column:
 
 
 def parse_game_records(records: DataFrame, text: str = "value", cap: int | None = None) -> DataFrame:
-    """(headers, moves) per record; records without both players are skipped.
+    """(headers, moves) per record; undecodable records and those without both players are skipped.
 
     ``cap`` keeps that many games, as a limit on the parsed table.
     """
     body = F.col(text)
-    whole = F.when(F.startswith(F.ltrim(body), F.lit("[Event ")), F.ltrim(body)).otherwise(F.concat(F.lit("[Event "), body))
+    first = F.startswith(F.ltrim(body), F.lit("[Event "))
+    whole = F.when(first, F.ltrim(body)).otherwise(F.concat(F.lit("[Event "), body))
     parts = F.split(whole, "\n\n", 2)
     rest = [c for c in records.columns if c != text]
-    split = records.select(*rest, F.get(parts, F.lit(0)).alias("__h"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("__m"))
+    split = records.filter(F.is_valid_utf8(text)).select(
+        *rest, F.get(parts, F.lit(0)).alias("__h"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("__m"))
     tags = split.select(*rest, "__m", F.regexp_extract_all("__h", F.lit(_HEADER), F.lit(1)).alias("__k"),
                         F.regexp_extract_all("__h", F.lit(_HEADER), F.lit(2)).alias("__v"))
     keys, values = F.col("__k"), F.col("__v")

@@ -77,6 +77,14 @@ def test_records(spark, tmp_path):
     assert records.read_game_records(spark, str(tmp_path), cap=1).count() == 1
 
 
+def test_undecodable_record_is_skipped(spark, tmp_path):
+    third = GAMES.split("\n\n[Event ")[2].encode().replace(b"d4", b"d4\xff\xfe")
+    whole = GAMES.encode() + b"\n[Event " + third + b"\n"
+    (tmp_path / "games.txt").write_bytes(whole)
+    got = [r["headers"]["Event"] for r in records.read_game_records(spark, str(tmp_path)).collect()]
+    assert sorted(got) == ["Second", "Wch U16"]
+
+
 def test_stream_of_records_equals_batch(spark, tmp_path):
     for i in range(5):
         (tmp_path / f"g{i}.txt").write_text(GAMES.replace("Second", f"Second {i}"))
