@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.scale import materialize
+from corvane.scale import limit, materialize
 
 # Largest query matrix sent to every task, largest corpus block of the grid, and largest
 # score matrix held at once, in values.
@@ -77,7 +77,7 @@ def _search(batches: Iterator[pd.DataFrame], qids: np.ndarray, queries: np.ndarr
 
 def top_k(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine",
           qid: str = "qid", cid: str = "id", vector: str = "vector",
-          query_values: int = QUERY_VALUES, block_values: int = BLOCK_VALUES) -> DataFrame:
+          query_values: int | None = None, block_values: int | None = None) -> DataFrame:
     """The k corpus rows nearest to each query: (qid, id, score, rank).
 
     ``cosine`` scores are similarities, ``l2`` scores squared distances. Each task
@@ -85,6 +85,8 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cos
     so no pair is materialised. A query set above ``query_values`` numbers is cut
     into blocks that meet corpus blocks on a grid; both ways are exact.
     """
+    query_values = limit(corpus.sparkSession, "queryValues", QUERY_VALUES, query_values)
+    block_values = limit(corpus.sparkSession, "blockValues", BLOCK_VALUES, block_values)
     types = {**{f"q:{f.name}": f.dataType.simpleString() for f in queries.schema},
              **{f"c:{f.name}": f.dataType.simpleString() for f in corpus.schema}}
     schema = f"__q {types['q:' + qid]}, __id {types['c:' + cid]}, __s double"

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.arrays import euclid
-from corvane.scale import ROWS_PER_TASK, Ordered, lookup_join
+from corvane.scale import Ordered, lookup_join
 
 
 def turn_index(df: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "turn_count",
-               rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+               rows_per_task: int | None = None) -> DataFrame:
     """0-based turn, full-move number (two turns each) and the colour to move."""
     out = Ordered(df, key, order, rows_per_task).index(name).result()
     return out.withColumns({
@@ -26,7 +26,7 @@ def turn_index(df: DataFrame, key: Sequence[str], order: Sequence[str], name: st
 
 def trajectory(df: DataFrame, key: Sequence[str], order: Sequence[str], action: str,
                symbols: Sequence[str], terminal: bool = False, keep: Sequence[str] = (),
-               rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+               rows_per_task: int | None = None) -> DataFrame:
     """One row per step: the state before it (count of each symbol so far) and the action.
 
     With ``terminal`` each sequence also ends in one row with its final state and a
@@ -45,14 +45,14 @@ def trajectory(df: DataFrame, key: Sequence[str], order: Sequence[str], action:
 
 
 def recent(df: DataFrame, key: Sequence[str], order: Sequence[str], last: int, cols: Sequence[str],
-           include_self: bool = False, out: str = "history", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+           include_self: bool = False, out: str = "history", rows_per_task: int | None = None) -> DataFrame:
     """Add the ``last`` rows before each row (or up to it), oldest first, as an array of structs."""
     return Ordered(df, key, order, rows_per_task).history(out, cols, last, include_self).result()
 
 
 def running_state(df: DataFrame, key: Sequence[str], order: Sequence[str], role: str, text: str,
                   roles: Sequence[str] = ("system", "user", "assistant"),
-                  rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                  rows_per_task: int | None = None) -> DataFrame:
     """Thread state after each step: messages per role, characters so far, last message."""
     sums = {f"n_{r}": (F.col(role) == r).cast("bigint") for r in roles}
     ordered = Ordered(df.select(*key, *order, role, text), key, order, rows_per_task)
@@ -62,7 +62,7 @@ def running_state(df: DataFrame, key: Sequence[str], order: Sequence[str], role:
 
 
 def dedup_adjacent(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
-                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                   rows_per_task: int | None = None) -> DataFrame:
     """Drop a row whose value equals that of the row before it."""
     seen = Ordered(df, key, order, rows_per_task).index("__ix").lag(__prev=value).result()
     same = (F.col("__ix") > 0) & F.col("__prev").eqNullSafe(F.col(value))
@@ -70,7 +70,7 @@ def dedup_adjacent(df: DataFrame, key: Sequence[str], order: Sequence[str], valu
 
 
 def take_until_repeat(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
-                      rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                      rows_per_task: int | None = None) -> DataFrame:
     """Rows of each source before its first adjacent repeat."""
     first = Ordered(df, key, order, rows_per_task)
     seen = first.index("__ix").lag(__prev=value).result()
@@ -80,7 +80,7 @@ def take_until_repeat(df: DataFrame, key: Sequence[str], order: Sequence[str], v
 
 
 def transitions(df: DataFrame, key: Sequence[str], order: Sequence[str], state: str,
-                action: Column, reward: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                action: Column, reward: str, rows_per_task: int | None = None) -> DataFrame:
     """(s, a, r, s_next) per step; the last step of a sequence has a null ``s_next``."""
     base = df.select(*key, *order, F.col(state).alias("s"), action.alias("a"), F.col(reward).alias("r"))
     return Ordered(base, key, order, rows_per_task).lead(s_next="s").result()
@@ -103,7 +103,7 @@ def every_n(df: DataFrame, step: str, n: int) -> DataFrame:
 
 
 def line_neighbours(points: DataFrame, line: str = "line", id_: str = "id", x: str = "x", y: str = "y",
-                    rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                    rows_per_task: int | None = None) -> DataFrame:
     """Previous and next member of each line, ordered by distance from the line's end point.
 
     The end point is the member with the lowest id.

@@ -13,10 +13,10 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.scale import hash_key, nth_smallest
+from corvane.scale import hash_key, limit, nth_smallest
 
 # A sample up to this size is a top-n; every task hands on that many rows.
-_HEAP_ROWS = 1_000
+SAMPLE_ROWS = 1_000
 
 
 def sort_by_latest(df: DataFrame, years: str, name: str) -> DataFrame:
@@ -50,7 +50,7 @@ def _first_by_hash(df: DataFrame, keys: DataFrame, key: Sequence[str], n: int, s
 
 def sample_n(df: DataFrame, n: int, seed: int, key: Sequence[str]) -> DataFrame:
     """Exactly ``n`` rows (all when fewer); ``key`` is unique."""
-    if n <= _HEAP_ROWS:
+    if n <= limit(df.sparkSession, "sampleRows", SAMPLE_ROWS):
         return df.orderBy(hash_key(*key, seed=seed), *key).limit(n)
     return _first_by_hash(df, df, key, min(n, df.count()), seed)[0]
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as tx
-from corvane.scale import BROADCAST_ROWS, global_index, materialize
+from corvane.scale import BROADCAST_ROWS, global_index, limit, materialize
 
 # Reserved ids and the label value that training ignores.
 UNK_ID, EOS_ID, FIRST_ID = 0, 2, 3
@@ -44,7 +44,7 @@ def _padded(ids: Column, fill: Column, width: Column, side: str) -> Column:
 
 def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "right",
            pad_id: int = EOS_ID, unk_id: int = UNK_ID, text: str = "text",
-           key: Sequence[str] = ("doc_id",), head: int = BROADCAST_ROWS) -> DataFrame:
+           key: Sequence[str] = ("doc_id",), head: int | None = None) -> DataFrame:
     """Token ids cut to ``length`` and padded, with mask and labels; ``side=None`` does not pad.
 
     ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. Its most frequent
@@ -52,6 +52,7 @@ def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "rig
     them hot, for a shuffled lookup. Tokens beyond ``length`` never leave the scan
     stage, and a group is one text of at most ``length`` ids.
     """
+    head = limit(df.sparkSession, "broadcastRows", BROADCAST_ROWS, head)
     tokens = F.slice(tx.words(F.col(text)), 1, length)
     exploded = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
     table = vocab.select("token", "id")

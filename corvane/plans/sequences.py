@@ -30,7 +30,7 @@ TRANSITIONS = f"""(SELECT user_id, ts, event_id, event_type AS s, {ACTION} AS a,
 
 
 @query("w1_turn_index", f"""
-    SELECT event_id, user_id, lpad(i::VARCHAR, 3, '0') AS turn_count, i // 2 + 1 AS full_move_count,
+    SELECT event_id, user_id, lpad(i::VARCHAR, greatest(3, length(i::VARCHAR))::INT, '0') AS turn_count, i // 2 + 1 AS full_move_count,
            CASE WHEN i % 2 = 0 THEN 'W' ELSE 'B' END AS turn_color
     FROM (SELECT event_id, user_id, row_number() OVER {OVER} - 1 AS i FROM events)""")
 def w1(t):
@@ -66,7 +66,7 @@ _CODES = f"list_transform({BOARD}, lambda x: {sql_map(ar.PIECE_CODES)}[x])"
 
 @query("w2_position_rows", f"""
     SELECT 'game' || '0x' || lpad(lower(to_hex(label::BIGINT)), 3, '0') AS id, CASE WHEN i % 2 = 0 THEN 'white' ELSE 'black' END AS player,
-      i // 2 + 1 AS full_move_count, lpad(i::VARCHAR, 3, '0') AS turn_count, CASE WHEN i % 2 = 0 THEN 'W' ELSE 'B' END AS turn_color,
+      i // 2 + 1 AS full_move_count, lpad(i::VARCHAR, greatest(3, length(i::VARCHAR))::INT, '0') AS turn_count, CASE WHEN i % 2 = 0 THEN 'W' ELSE 'B' END AS turn_color,
       array_to_string(state, ' ') AS state, state[f + 1] AS moved_piece, f AS moved_from, g AS moved_to,
       ((g % 8) - (f % 8))::INT AS dx, ((7 - g // 8) - (7 - f // 8))::INT AS dy
     FROM (SELECT label, vec_id, {_CODES} AS state, (list_position(embedding, list_max(embedding)) - 1)::INT AS f,

@@ -141,8 +141,10 @@ def a9_auc(t):
 _TOK = "list_filter(regexp_split_to_array(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')"
 
 
-def _rouge_sql(n: int) -> str:
+def _rouge_sql(n: int, rounded: bool = True) -> str:
     gram = "w[i]" if n == 1 else "w[i] || ' ' || w[i + 1]"
+    score = "coalesce(CASE WHEN hit > 0 THEN 100 * 2 * (hit/nq) * (hit/na) / (hit/nq + hit/na) END, 0)::DOUBLE"
+    score = f"round({score}, 6)" if rounded else score
     return f"""
     WITH base AS (SELECT conv_id, turn, {_TOK.format('question')} AS q, {_TOK.format('answer')} AS a FROM {_PAIRS}),
     g AS (SELECT conv_id, turn, gram, sum((side = 'q')::INT) AS nq, sum((side = 'a')::INT) AS na FROM (
@@ -151,7 +153,7 @@ def _rouge_sql(n: int) -> str:
             SELECT conv_id, turn, 'a', {gram} FROM (
               SELECT conv_id, turn, a AS w, unnest(range(1, len(a) - {n} + 2)) AS i FROM base)) GROUP BY ALL),
     s AS (SELECT conv_id, turn, sum(least(nq, na))::DOUBLE AS hit, sum(nq)::DOUBLE AS nq, sum(na)::DOUBLE AS na FROM g GROUP BY ALL)
-    SELECT b.conv_id, b.turn, round(coalesce(CASE WHEN hit > 0 THEN 100 * 2 * (hit/nq) * (hit/na) / (hit/nq + hit/na) END, 0)::DOUBLE, 6) AS score
+    SELECT b.conv_id, b.turn, {score} AS score
     FROM base b LEFT JOIN s ON s.conv_id = b.conv_id AND s.turn = b.turn"""
 
 
@@ -190,12 +192,11 @@ def a12_sum(t):
 
 @query("a10_metric_means", f"""
     SELECT round(avg(r1.score), 6) AS rouge1, round(avg(r2.score), 6) AS rouge2
-    FROM ({_rouge_sql(1)}) r1 JOIN ({_rouge_sql(2)}) r2 ON r1.conv_id = r2.conv_id AND r1.turn = r2.turn""")
+    FROM ({_rouge_sql(1, False)}) r1 JOIN ({_rouge_sql(2, False)}) r2 ON r1.conv_id = r2.conv_id AND r1.turn = r2.turn""")
 def a10(t):
     pairs = _pairs(t)
     both = rg.rouge_n(pairs, 1, ["conv_id", "turn"]).join(rg.rouge_n(pairs, 2, ["conv_id", "turn"]), ["conv_id", "turn"])
-    rounded = both.withColumns({n: F.round(n, 6) for n in ("rouge1", "rouge2")})
-    means = st.metric_means(rounded, ["rouge1", "rouge2"])
+    means = st.metric_means(both, ["rouge1", "rouge2"])
     return means.select(*[F.round(n, 6).alias(n) for n in ("rouge1", "rouge2")])
 
 

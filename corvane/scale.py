@@ -28,6 +28,11 @@ _PART = "__part"
 _local_dirs: dict[str, str] = {}
 
 
+def limit(spark: SparkSession, name: str, default: int, given: int | None = None) -> int:
+    """A size limit: the argument, else session setting ``spark.corvane.<name>``, else the default."""
+    return given if given is not None else int(spark.conf.get(f"spark.corvane.{name}", str(default)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
@@ -89,8 +94,10 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[int, bool]:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> tuple[int, bool]:
     """(rows, whether all of ``df`` may be broadcast), from one aggregate over it."""
+    max_rows = limit(df.sparkSession, "broadcastRows", BROADCAST_ROWS, max_rows)
+    max_bytes = limit(df.sparkSession, "broadcastBytes", BROADCAST_BYTES, max_bytes)
     row = df.select(_row_bytes(df).alias("b")).agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
     return row["n"], row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
@@ -106,7 +113,8 @@ class Ordered:
     """
 
     def __init__(self, df: DataFrame, key: Sequence[str], order: Sequence[str],
-                 rows_per_task: int = ROWS_PER_TASK, sizes: tuple[int, int] | None = None):
+                 rows_per_task: int | None = None, sizes: tuple[int, int] | None = None):
+        rows_per_task = limit(df.sparkSession, "rowsPerTask", ROWS_PER_TASK, rows_per_task)
         self.key, self.order = list(key), list(order)
         self.sizes = group_sizes(df, self.key) if sizes is None else sizes
         rows, largest = self.sizes
@@ -238,7 +246,7 @@ class Ordered:
 
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "ix",
-                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                 rows_per_task: int | None = None) -> DataFrame:
     """Add the 0-based position of each row in the total order of unique columns ``order``.
 
     Only the order columns are ranked; the wide rows meet their position in a join.
@@ -298,8 +306,8 @@ def uniform(*cols: str | Column, seed: int) -> Column:
 
 
 def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "left",
-                broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
-                rows_per_task: int = ROWS_PER_TASK, fits: bool | None = None) -> DataFrame:
+                broadcast_rows: int | None = None, broadcast_bytes: int | None = None,
+                rows_per_task: int | None = None, fits: bool | None = None) -> DataFrame:
     """Join a fact side of any skew to ``dims``, which is unique on ``on``.
 
     ``dims`` is broadcast only when measured to be small (``fits`` passes on an earlier
@@ -312,6 +320,7 @@ def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str =
         fits = fits_broadcast(dims, broadcast_rows, broadcast_bytes)[1]
     if fits:
         return facts.join(F.broadcast(dims), on, how)
+    rows_per_task = limit(facts.sparkSession, "rowsPerTask", ROWS_PER_TASK, rows_per_task)
     keyed, keyless = facts.dropna(subset=on), facts.filter(~_all_present(on))
     # Any key past the first HOT_KEYS holds less than one HOT_KEYS-th of the rows.
     hot = (keyed.groupBy(*on).count().filter(F.col("count") > rows_per_task)

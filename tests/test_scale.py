@@ -97,7 +97,7 @@ def test_split_with_equal_hashes(spark, monkeypatch):
 def test_sample_sizes(spark, monkeypatch):
     df = spark.range(500)
     heap = {r[0] for r in sp.sample_n(df, 60, 3, ["id"]).collect()}
-    monkeypatch.setattr(sp, "_HEAP_ROWS", 10)
+    monkeypatch.setattr(sp, "SAMPLE_ROWS", 10)
     assert {r[0] for r in sp.sample_n(df, 60, 3, ["id"]).collect()} == heap and len(heap) == 60
     assert sp.sample_n(df, 900, 3, ["id"]).count() == 500
 
