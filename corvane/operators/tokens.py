@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as tx
-from corvane.scale import BROADCAST_ROWS, global_index, limit, materialize
+from corvane.scale import BROADCAST_ROWS, fits_broadcast, global_index, limit, lookup_join, materialize
 
 # Reserved ids and the label value that training ignores.
 UNK_ID, EOS_ID, FIRST_ID = 0, 2, 3
 IGNORE = -100
+SHORT_BYTES = 64  # longest token of the broadcast head, so that its size is bounded
 SPECIALS = ("<|im_start|>", "<|im_end|>")
 
 
@@ -47,23 +48,25 @@ def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "rig
            key: Sequence[str] = ("doc_id",), head: int | None = None) -> DataFrame:
     """Token ids cut to ``length`` and padded, with mask and labels; ``side=None`` does not pad.
 
-    ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. Its most frequent
-    ``head`` tokens are broadcast; a larger vocabulary leaves only rare tokens, none of
-    them hot, for a shuffled lookup. Tokens beyond ``length`` never leave the scan
-    stage, and a group is one text of at most ``length`` ids.
+    ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. A vocabulary that
+    does not fit a broadcast is cut: its ``head`` most frequent short tokens are
+    broadcast, and only rare or very long tokens need a shuffled lookup. Tokens beyond
+    ``length`` never leave the scan stage, and a group is one text of at most
+    ``length`` ids.
     """
     head = limit(df.sparkSession, "broadcastRows", BROADCAST_ROWS, head)
     tokens = F.slice(tx.words(F.col(text)), 1, length)
     exploded = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
     table = vocab.select("token", "id")
-    if table.count() <= head:
+    if fits_broadcast(table, head)[1]:
         known = exploded.join(F.broadcast(table), "token", "left")
     else:
         edge = table.agg(F.min("id")).first()[0] + head
-        near = exploded.join(F.broadcast(table.filter(F.col("id") < edge)), "token", "left")
+        frequent = (F.col("id") < edge) & (F.octet_length("token") <= SHORT_BYTES)
+        near = exploded.join(F.broadcast(table.filter(frequent)), "token", "left")
         rare = near.filter("id is null and token is not null").drop("id")
         known = near.filter("id is not null or token is null").unionByName(
-            rare.join(table.filter(F.col("id") >= edge), "token", "left"))
+            lookup_join(rare, table.filter(~frequent), ["token"], fits=False))
     item = F.when(F.col("token").isNotNull(),
                   F.struct("pos", F.coalesce("id", F.lit(unk_id)).cast("int").alias("id")))
     ids = (known.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("__items"))

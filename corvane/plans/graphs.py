@@ -10,7 +10,7 @@ from corvane.operators import sequences as sq
 from corvane.plans import query
 from corvane.plans.lookups import PLACES, places, trade_links
 from corvane.plans.sequences import STATIONS, station_lines
-from corvane.scale import lookup_join
+from corvane.scale import lookup_join, materialize
 
 
 @query("g1_edges", f"""WITH {STATIONS},
@@ -29,7 +29,7 @@ def _trade_graph(t):
     """Customers and suppliers, joined by an order line in both directions."""
     orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("c"))
     lines = t("lineitem").select("l_orderkey", F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("s"))
-    pairs = lookup_join(lines, orders, ["l_orderkey"], "inner").select("c", "s").distinct()
+    pairs = materialize(lookup_join(lines, orders, ["l_orderkey"], "inner").select("c", "s").distinct(), "pairs")
     return pairs.select(F.col("c").alias("src"), F.col("s").alias("dst")).unionByName(
         pairs.select(F.col("s").alias("src"), F.col("c").alias("dst")))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_TASK = 1_000_000
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 2 ** 20
 HOT_KEYS = 10_000
 MAX_RANGES = 10_000

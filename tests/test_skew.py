@@ -15,9 +15,9 @@ import __spark_entry__ as entry_module  # noqa: E402
 
 QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
 LIMITS = {"rowsPerTask": 60, "broadcastRows": 8, "queryValues": 200, "blockValues": 2000, "sampleRows": 10}
-NAMES = [n for n in sorted(QUERIES) if n in SQL and n.split("_")[0].rstrip("0123456789") in ("w", "g", "j", "l", "a")
-         or n in ("t11_apply_template", "t13_render_rag", "t14_encode", "t14_training_rows", "t16_collate",
-                  "t18_build_vocab", "t1_chunk_lookback_256", "t5_chunk_merge", "s10_load_until_repeat", "u3_minus")]
+PREFIXES = ("w", "g", "j", "l4", "l5_split_05", "l6", "l7", "a6_batches", "a9_auc", "a20", "a21", "a23_td_error", "t11_apply",
+            "t13", "t14", "t16", "t18", "t1_chunk_lookback_256", "t5", "s10", "u3")
+NAMES = [n for n in sorted(QUERIES) if n in SQL and n.startswith(PREFIXES)]
 
 REPLACED = {
     "customer": "CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE c_nationkey END AS c_nationkey",
