@@ -126,4 +126,6 @@ def run_available(stream: DataFrame, name: str = "stream") -> DataFrame:
             spark.conf.unset(_PROVIDER)
         else:
             spark.conf.set(_PROVIDER, before)
+    if not any(p["numInputRows"] for p in query.recentProgress):
+        return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(f"{path}/out")

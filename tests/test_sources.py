@@ -2,10 +2,12 @@
 
 import io
 import zipfile
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from corvane import scale
 from corvane.sources import files, pages, records, tables
 from corvane.streaming import state as ss
 
@@ -141,6 +143,28 @@ def test_synth_is_stable(spark):
     assert rows(ids.repartition(2)) == rows(ids.repartition(7))
 
 
+def test_empty_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert ss.run_available(ss.stream_records(spark, str(tmp_path / "in")), "test").count() == 0
+
+
+def session_stub(checkpoint_dir, master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: checkpoint_dir or default),
+                           sparkContext=SimpleNamespace(applicationId=f"app-{master}", master=master))
+
+
+def test_shared_folder_follows_the_session(spark):
+    assert scale.shared_dir(session_stub("hdfs://c/ckpt/", "yarn")) == "hdfs://c/ckpt"
+    with pytest.raises(RuntimeError):
+        scale.shared_dir(session_stub(None, "yarn"))
+    local = session_stub(None, "local[2]")
+    assert scale.shared_dir(local) == scale.shared_dir(local)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert scale.scratch_path(spark, "x").startswith(configured.rstrip("/") + "/x-")
+    assert scale.materialize(spark.range(5)).count() == 5
+
+
 def test_running_state_over_batches(spark, tmp_path):
     turns = [(c, t, ("system", "user", "assistant")[t % 3], f"m{c}{t}") for c in range(4) for t in range(6)]
     schema = "conv_id long, turn long, role string, text string"
