@@ -60,7 +60,7 @@ def _lcs_length(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
-def _lcs_positions(ref: list[str], cand: list[str]) -> set[int]:
+def _lcs_positions(ref: Sequence[str], cand: Sequence[str]) -> set[int]:
     """Positions of ``ref`` on one longest common subsequence with ``cand``."""
     m, n = len(ref), len(cand)
     table = np.zeros((m + 1, n + 1), dtype=np.int32)
@@ -91,18 +91,21 @@ def _f_score(hit: int, m: int, n: int) -> float:
 
 def _lsum(ref: str, pred: str) -> float:
     """Per reference line, the union of its common subsequences with all predicted lines."""
-    refs = [_TOKEN.findall(line) for line in ref.lower().split("\n")]
-    cands = [_TOKEN.findall(line) for line in pred.lower().split("\n")]
+    refs = [tuple(_TOKEN.findall(line)) for line in ref.lower().split("\n")]
+    cands = [tuple(_TOKEN.findall(line)) for line in pred.lower().split("\n")]
     m, n = sum(map(len, refs)), sum(map(len, cands))
     left_ref = Counter(w for line in refs for w in line)
     left_cand = Counter(w for line in cands for w in line)
+    # Equal lines give equal positions, and lines without a common word give none.
+    distinct = [(cand, set(cand)) for cand in dict.fromkeys(cands) if cand]
+    unions: dict[tuple[str, ...], list[int]] = {}
     hit = 0
     for line in refs:
-        union: set[int] = set()
-        for cand in cands:
-            if cand:
-                union |= _lcs_positions(line, cand)
-        for pos in sorted(union):
+        if line not in unions:
+            words = set(line)
+            found = [_lcs_positions(line, cand) for cand, vocab in distinct if not words.isdisjoint(vocab)]
+            unions[line] = sorted(set().union(*found))
+        for pos in unions[line]:
             word = line[pos]
             if left_ref[word] > 0 and left_cand[word] > 0:
                 left_ref[word] -= 1
