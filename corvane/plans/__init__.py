@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from corvane.scale import spread
+from corvane.ship import ship
 
 
 @dataclass(frozen=True)
@@ -26,7 +27,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(spark, sf_dir))
+            return fn(Tables(ship(spark), sf_dir))
         REGISTRY[name] = Query(run, sql)
         return fn
     return register
