@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import codec, sharding, token_counts
+from corvane.llm import codec, gam, perplexity, secrets, sharding, token_counts
 from corvane.ship import ship
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,16 @@ def _op2(t):
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+@_register("op3_quality_classifier")
+def _op3(t):
+    return gam.score(t("documents"), t("labels"))
+
+
+@_register("op4_secret_scan")
+def _op4(t):
+    return secrets.scan(t("documents"))
+
+
 @_register("op5_token_counts")
 def _op5(t):
     return token_counts.token_counts(t("documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -44,6 +54,12 @@ def _op9(t):
     return codec.encode(t("documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@_register("op10_quality_rules")
+def _op10(t):
+    out = perplexity.quality(t("documents").select("doc_id", "lang", "text"))
+    return out.select("doc_id", *perplexity.COUNTS, "base_failed", "kept", "log_perplexity")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
