@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import codec, gam, perplexity, secrets, sharding, token_counts
+from corvane.llm import (codec, decontaminate, gam, jaccard_join, perplexity, secrets, sharding, snapshots,
+                         token_counts)
 from corvane.ship import ship
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,11 @@ def _register(name: str, sql: str | None = None):
     return keep
 
 
+@_register("op1_decontamination")
+def _op1(t):
+    return decontaminate.leaks(t("documents"), t("benchmark"))
+
+
 @_register("op2_sharding")
 def _op2(t):
     out = sharding.shard_by_bytes(t("documents"))
@@ -49,6 +55,16 @@ def _op5(t):
     return token_counts.token_counts(t("documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@_register("op6_chat_snapshots", snapshots.SQL)
+def _op6(t):
+    return snapshots.maximal(t("conversations"))
+
+
+@_register("op7_jaccard_join")
+def _op7(t):
+    return jaccard_join.components(t("documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @_register("op9_bpe_codec")
 def _op9(t):
     return codec.encode(t("documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
