@@ -50,7 +50,7 @@ def myers(pattern: bytes, text: bytes, most: int) -> tuple[int, int]:
     for i, c in enumerate(pattern):
         masks[c] |= 1 << i
     full, high = (1 << m) - 1, 1 << (m - 1)
-    pv, mv, score, best, end = full, 0, m, most + 1, 0
+    pv, mv, score, best, end = full, 0, m, min(m, most + 1), 0
     for j, c in enumerate(text):
         eq = masks.get(c, 0)
         xv = eq | mv

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from corvane.llm import linking
 from corvane.llm.kernels import blocks, flat, lists, longs, mix, row_bounds, shingles
-from corvane.llm.rows import TABLE_ENTRIES, batch, frequent, map_blocks, materialize, shared, table, texts
+from corvane.llm.rows import (TABLE_ENTRIES, batch, frequent, fresh, materialize, shared, table,
+                              texts)
 from corvane.scale import fits_broadcast
 from corvane.ship import ship
 
@@ -194,7 +195,35 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, orde
     columns are not read. Empty table: empty result. Shingles are told apart by 52 bits inside a
     document and sets by 64 bits.
     """
-    source = texts(docs, key, text)
+    rows = classes(texts(docs, key, text), width, percent, orders)
+    first = materialize(rows.filter("id <> 0").groupBy("label").agg(F.min("doc_id").alias("component_id")), "firsts")
+    out = rows.filter("id <> 0").join(first, "label")
+    alone = rows.filter("id = 0").withColumn("component_id", F.col("doc_id"))
+    return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                                         F.col("id").alias("set_id"))
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, orders: int = ORDERS,
+             key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each class of :func:`components`: the one of least id (null last); all columns as they are.
+
+    Rows without words are in no class and all stay. Of repeated rows (equal id and text) with words one stays.
+    """
+    own, body = F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")
+    mark = F.xxhash64(F.lit(7), own, body)
+    rows = classes(texts(docs, key, text).withColumn("mark", F.xxhash64(F.lit(7), "doc_id", "text")),
+                   width, percent, orders).filter("id <> 0")
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "mark")
+    name = fresh(docs, "__mark")
+    heads = materialize(rows.groupBy("label").agg(F.min(place).alias("head")).select(F.col("head.mark").alias(name)),
+                        "heads")
+    worded = F.coalesce(body.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    best = docs.filter(worded).withColumn(name, mark).join(heads, name, "left_semi").dropDuplicates([name])
+    return best.select(*docs.columns).unionByName(docs.filter(~worded))
+
+
+def classes(source: DataFrame, width: int, percent: int, orders: int) -> DataFrame:
+    """Each row of ``source`` without its text, with ``n`` (shingles), ``id`` (its set, 0 if empty) and ``label`` (class)."""
     spark = source.sparkSession
     scanned = materialize(rows_and_tokens(source, width), "sets")
     nodes = scanned.filter("id <> 0").groupBy("id").agg(F.first("n").alias("n"))
@@ -222,13 +251,6 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, orde
         return _verified(pairs, sets, order, percent, orders)
 
     labels = linking.classes(met, verify, plausible)
-    rows = scanned.filter("id is not null").select("doc_id", "n", "id")
-    named = rows.filter("id <> 0").join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left") \
-        .select("doc_id", "n", "id", F.coalesce("label", "id").alias("label"))
-    named = materialize(named, "classes")
-    first = materialize(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "firsts")
-    out = named.join(first, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                                            F.col("id").alias("set_id"))
-    alone = rows.filter("id = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-                                         F.col("id").alias("set_id"))
-    return out.unionByName(alone)
+    rows = scanned.filter("id is not null").drop("token", "times")
+    named = rows.join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
+    return materialize(named.withColumn("label", F.coalesce("label", "id")).drop("of"), "classes")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import (codec, decontaminate, gam, jaccard_join, perplexity, secrets, sharding, snapshots,
+from corvane.llm import (codec, decontaminate, gam, jaccard_join, line_dedup, perplexity, secrets, sharding, snapshots,
                          token_counts)
 from corvane.ship import ship
 
@@ -65,6 +66,12 @@ def _op7(t):
     return jaccard_join.components(t("documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@_register("op8_line_dedup")
+def _op8(t):
+    out = line_dedup.dedup(t("documents").select("doc_id", "text"), counts=True)
+    return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
 @_register("op9_bpe_codec")
 def _op9(t):
     return codec.encode(t("documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -76,6 +83,11 @@ def _op10(t):
     return out.select("doc_id", *perplexity.COUNTS, "base_failed", "kept", "log_perplexity")
 
 
+_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
