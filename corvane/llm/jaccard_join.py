@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import linking
@@ -230,19 +230,30 @@ def classes(source: DataFrame, width: int, percent: int, orders: int) -> DataFra
     times = materialize(scanned.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times")), "times")
     often = table(times.filter(F.col("times") >= frequent(times, "times")))
     order = shared(spark, Order(often["token"].view(np.uint64), often["times"]))
-    postings = materialize(_postings(source, order, width, percent), "postings")
+    postings = _postings(source, order, width, percent)  # read twice: cheaper than writing all of them
     least = postings.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
     least = materialize(least.select("key", "lo"), "keys")
-    met = materialize(postings.join(least, "key").filter("id <> lo").select("key", "id", "lo").distinct(), "shared")
+    met = postings.join(least, "key").filter("id <> lo").select("key", "id", "lo")
     nodes = materialize(nodes, "nodes")
 
+    def room(x: Column, y: Column, common: Column) -> Column:
+        """Whether two sets may be linked that share ``common`` tokens of their prefixes: what lies beyond
+        the prefix that ends first can add no more than its length."""
+        need = F.ceil((x + y) * percent / (100 + percent) - 1e-9)
+        rest = F.greatest(F.floor((x * percent + 99) / 100), F.floor((y * percent + 99) / 100)) - 1
+        return (F.least(x, y) * 100 >= F.greatest(x, y) * percent) & (common + rest >= need)
+
     def plausible(pairs: DataFrame) -> DataFrame:
         sized = pairs.join(nodes.select(F.col("id").alias("a"), F.col("n").alias("x")), "a") \
             .join(nodes.select(F.col("id").alias("b"), F.col("n").alias("y")), "b")
-        need = F.ceil((F.col("x") + F.col("y")) * percent / (100 + percent) - 1e-9)
-        rest = F.greatest(F.floor((F.col("x") * percent + 99) / 100), F.floor((F.col("y") * percent + 99) / 100)) - 1
-        near = (F.least("x", "y") * 100 >= F.greatest("x", "y") * percent)
-        return sized.filter(near & (F.col("shared") + rest >= need)).select("a", "b")
+        return sized.filter(room(F.col("x"), F.col("y"), F.col("shared"))).select("a", "b")
+
+    def facts(members: DataFrame) -> DataFrame:
+        """Size of each set, and how many tokens of its prefix it shares with any other prefix."""
+        return members.groupBy("id").agg(F.count("*").alias("common")).join(nodes, "id")
+
+    def possible(left: str, right: str) -> Column:
+        return room(F.col(left + "n"), F.col(right + "n"), F.least(left + "common", right + "common"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
@@ -250,7 +261,7 @@ def classes(source: DataFrame, width: int, percent: int, orders: int) -> DataFra
         sets = materialize(_sets(source, wanted, width), "tokens")
         return _verified(pairs, sets, order, percent, orders)
 
-    labels = linking.classes(met, verify, plausible)
+    labels = linking.classes(met, verify, plausible, facts, possible)
     rows = scanned.filter("id is not null").drop("token", "times")
     named = rows.join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
     return materialize(named.withColumn("label", F.coalesce("label", "id")).drop("of"), "classes")

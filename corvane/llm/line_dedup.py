@@ -181,7 +181,6 @@ def line_classes(source: DataFrame, edits: int) -> DataFrame:
     index = _postings(source, edits, True).groupBy("key").agg(F.min("id").alias("lo"))
     index = materialize(index, "keys")
     met = _postings(source, edits, False).join(index, "key").filter("id <> lo")
-    met = materialize(met.groupBy("key", "id", "lo").agg(F.max("own").alias("own")), "shared")
 
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
@@ -195,7 +194,7 @@ def line_classes(source: DataFrame, edits: int) -> DataFrame:
                 keep = [banded(x, y, edits) for x, y in zip(rows.column("x").to_pylist(), rows.column("y").to_pylist())]
                 yield batch(a=rows.column("a"), b=rows.column("b")).filter(pa.array(keep, pa.bool_()))
         return both.mapInArrow(run, "a bigint, b bigint")
-    return linking.classes(met, verify, lambda pairs: pairs.select("a", "b"), indexed=True)
+    return linking.classes(met, verify, lambda pairs: pairs.select("a", "b"))
 
 
 def row_key(key: Column, text: Column) -> Column:

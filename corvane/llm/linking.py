@@ -1,22 +1,26 @@
 """From shared keys to classes of linked nodes, without emitting all pairs of a group.
 
-Two nodes that share a key are a candidate pair. A group of k nodes first offers k - 1 pairs, each of
-its nodes with the least one (a star). Verified pairs join nodes into components, and a second round
+Two nodes that share a key are a candidate pair. A group of k nodes first offers at most CENTERS * k
+pairs, each of its nodes with a few centers: nodes that share most keys with most others, so of many
+copies of one text those closest to the text. Verified pairs join nodes into components, and a second round
 offers the pairs of a group that lie in different components, and those only. Every candidate pair is
 thus verified or already connected, so the classes are exact, while a large group of near copies,
-whose star falls into one component, costs its size and not its square.
+most of which fall into one component, costs little more than its size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.rows import materialize
 
 
+CENTERS = 8
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id``, ``label`` of every node of the links ``a``, ``b``: the least node it is connected with.
 
@@ -46,46 +50,69 @@ def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return edges, tuple(row)
 
 
-def stars(shared: DataFrame, indexed: bool) -> DataFrame:
-    """``a``, ``b``, ``shared``: each node of a key with the least (indexed) node of the key, and their common keys."""
-    return shared.select(F.col("id").alias("a"), F.col("lo").alias("b"), "key").groupBy("a", "b") \
+def members(shared: DataFrame) -> DataFrame:
+    """``key``, ``id``, ``own``: all nodes of the shared keys, the least ones with the others."""
+    own = F.col("own") if "own" in shared.columns else F.lit(True)
+    return shared.select("key", "id", own.alias("own")) \
+        .unionByName(shared.select("key", F.col("lo").alias("id"), F.lit(True).alias("own"))) \
+        .groupBy("key", "id").agg(F.max("own").alias("own"))
+
+
+def stars(nodes: DataFrame) -> DataFrame:
+    """``a`` < ``b``, ``shared``: each node of a key with the centers of the key, and their common keys.
+
+    A node weighs the sum of the sizes of its groups. The nodes that own a key fall into ``CENTERS``
+    buckets by hash; the heaviest of each is a center.
+    """
+    sizes = materialize(nodes.groupBy("key").agg(F.count("*").alias("k")), "sizes")
+    weights = materialize(nodes.join(sizes, "key").groupBy("id").agg(F.sum("k").alias("w")), "weights")
+    weighed = nodes.filter("own").join(weights, "id")
+    bucket = F.pmod(F.xxhash64("id"), F.lit(CENTERS)).alias("bucket")
+    tops = weighed.groupBy("key", bucket).agg(F.max(F.struct("w", "id")).alias("top"))
+    centers = materialize(tops.select("key", F.col("top.id").alias("center")), "centers")
+    pairs = nodes.join(centers, "key").filter("id <> center")
+    return pairs.groupBy(F.least("id", "center").alias("a"), F.greatest("id", "center").alias("b")) \
         .agg(F.count("*").alias("shared"))
 
 
-def residual(shared: DataFrame, labels: DataFrame, indexed: bool) -> DataFrame:
-    """``a``, ``b``, ``shared``: pairs of nodes with a common key in different components.
+def residual(nodes: DataFrame, labels: DataFrame, about: DataFrame | None, possible) -> DataFrame:
+    """``a``, ``b``, ``shared``: pairs of nodes with a common key, owned by one of them, in different components.
 
-    With ``indexed``, one node of a pair must bear the key in its index (flag ``own``).
+    ``possible(l, r)`` is a condition on the facts of two nodes (columns of ``about``) that every link meets;
+    pairs that fail it are not made.
     """
-    own = F.col("own") if indexed else F.lit(True)
-    members = shared.select("key", "id", own.alias("own")) \
-        .unionByName(shared.select("key", F.col("lo").alias("id"), F.lit(True).alias("own"))).distinct()
-    named = members.join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left") \
-        .select("key", "id", "own", F.coalesce("label", "id").alias("label"))
-    named = materialize(named, "members")
-    open_keys = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
-    named = materialize(named.join(open_keys, "key", "left_semi"), "members")
-    left, right = named.filter("own"), named
-    once = F.col("l.id") < F.col("r.id") if not indexed else (F.col("l.id") < F.col("r.id")) | ~F.col("r.own")
-    pairs = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & once
-                                 & (F.col("l.label") != F.col("r.label")))
+    named = nodes.join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left") \
+        .withColumn("label", F.coalesce("label", "id")).drop("of")
+    if about is not None:
+        named = named.join(about, "id")
+    named = materialize(named, "named")
+    differ = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
+    named = materialize(named.join(materialize(differ, "differ"), "key", "left_semi"), "open")
+    once = (F.col("l.id") < F.col("r.id")) | ~F.col("r.own")
+    match = (F.col("l.key") == F.col("r.key")) & once & (F.col("l.label") != F.col("r.label"))
+    if about is not None:
+        match = match & possible("l.", "r.")
+    pairs = named.filter("own").alias("l").join(named.alias("r"), match)
     return pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).groupBy("a", "b") \
         .agg(F.count("*").alias("shared"))
 
 
-def classes(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], plausible: Callable[[DataFrame], DataFrame],
-            indexed: bool = False) -> DataFrame:
+def classes(shared: DataFrame, verify: Callable[[DataFrame], DataFrame],
+            plausible: Callable[[DataFrame], DataFrame], facts: Callable[[DataFrame], DataFrame] | None = None,
+            possible: Callable[[str, str], Column] | None = None) -> DataFrame:
     """``id``, ``label`` of all nodes with a link.
 
-    ``shared``: ``key``, ``id``, ``lo`` (and ``own``) of the nodes that share a key with another one, without
-    the least node's own rows. ``plausible`` drops pairs that cannot be links, given how many keys they
-    share; ``verify`` keeps the links. In the star round a pair's keys are counted low, which costs a
+    ``shared``: ``key``, ``id``, ``lo`` of the nodes that share a key with another one, without the least
+    node's own rows; with ``own``, one node of a pair must own the key, as the least one does. ``plausible`` drops pairs that cannot be links, given how many keys they
+    share; ``verify`` keeps the links. ``facts`` gives columns per ``id`` from the members, for ``possible``. In the star round a pair's keys are counted low, which costs a
     second look and loses nothing.
     """
-    first = materialize(plausible(stars(shared, indexed)), "pairs")
+    nodes = materialize(members(shared), "members")
+    first = materialize(plausible(stars(nodes)), "pairs")
     links = materialize(verify(first).select("a", "b"), "links")
     labels = materialize(components(links), "labels")
-    rest = plausible(residual(shared, labels, indexed))
+    about = materialize(facts(nodes), "facts") if facts else None
+    rest = plausible(residual(nodes, labels, about, possible))
     seen = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     rest = rest.join(seen, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti")
     rest = materialize(rest, "pairs")
