@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -176,8 +177,19 @@ def _texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.dropDuplicates(["id"])
 
 
-def line_classes(source: DataFrame, edits: int) -> DataFrame:
-    """``id``, ``label`` of the lines that are linked with another line by at most ``edits`` edits."""
+def line_classes(source: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
+    """``id``, ``label`` of the lines that are linked with another line by at most ``edits`` edits.
+
+    ``lines``: ``id`` and letter counts of every distinct line; pairs whose counts are too far apart are not verified.
+    """
+    counts = lines.select("id", *_LANES)
+
+    def plausible(pairs: DataFrame) -> DataFrame:
+        both = pairs.select("a", "b")
+        for side in ("a", "b"):
+            both = both.join(counts.toDF(side, *[f"{side}_{c}" for c in _LANES]), side)
+        return both.filter(near_counts("a_", "b_", edits)).select("a", "b")
+
     index = _postings(source, edits, True).groupBy("key").agg(F.min("id").alias("lo"))
     index = materialize(index, "keys")
     met = _postings(source, edits, False).join(index, "key").filter("id <> lo")
@@ -194,7 +206,37 @@ def line_classes(source: DataFrame, edits: int) -> DataFrame:
                 keep = [banded(x, y, edits) for x, y in zip(rows.column("x").to_pylist(), rows.column("y").to_pylist())]
                 yield batch(a=rows.column("a"), b=rows.column("b")).filter(pa.array(keep, pa.bool_()))
         return both.mapInArrow(run, "a bigint, b bigint")
-    return linking.classes(met, verify, lambda pairs: pairs.select("a", "b"))
+    return linking.classes(met, verify, plausible, lambda members: members.select("id").distinct().join(counts, "id"),
+                           lambda left, right: near_counts(left, right, edits))
+
+
+#: Lines longer than this have no letter counts (all lanes 0), which rule nothing out.
+_COUNTED = 60_000
+_LANES = [f"c{i}" for i in range(4)]
+
+
+def letter_counts(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """How many bytes of each of 16 kinds (the low four bits) a line has: four counts of 16 bits in each of four longs."""
+    out = []
+    for lane in range(4):
+        one = np.zeros(256, np.uint64)
+        for kind in range(4):
+            one[(np.arange(256) & 15) == 4 * lane + kind] = np.uint64(1 << 16 * kind)
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(one[raw], out=total[1:])
+        out.append(np.where(ends - starts <= _COUNTED, total[ends] - total[starts], np.uint64(0)))
+    return out
+
+
+def near_counts(left: str, right: str, edits: int) -> Column:
+    """Whether the letter counts of two lines allow for ``edits`` edits, each of which moves two counts by one at most."""
+    away = F.lit(0).cast("bigint")
+    for lane in _LANES:
+        for kind in range(4):
+            x, y = (F.shiftrightunsigned(F.col(s + lane), 16 * kind).bitwiseAND(0xFFFF) for s in (left, right))
+            away = away + F.abs(x - y)
+    some = [reduce(Column.__or__, [F.col(s + lane) != 0 for lane in _LANES]) for s in (left, right)]
+    return ~some[0] | ~some[1] | (away <= 2 * edits)
 
 
 def row_key(key: Column, text: Column) -> Column:
@@ -215,19 +257,22 @@ def removals(docs: DataFrame, edits: int = EDITS, key: str = "doc_id", text: str
         raw, off = flat(block.column("text"))
         starts, ends, rows, number = _lines(raw, off)
         at = pa.array(rows, pa.int64())
-        return batch(doc_id=block.column("doc_id").take(at), row_key=block.column("row_key").take(at),
+        counts = dict(zip(_LANES, map(longs, letter_counts(raw, starts, ends))))
+        return batch(**counts, doc_id=block.column("doc_id").take(at), row_key=block.column("row_key").take(at),
                      number=pa.array(number, pa.int32()), id=longs(_ids(raw, starts, ends)))
-    lines = materialize(map_blocks(source, kernel, f"doc_id {kind}, row_key bigint, number int, id bigint"), "lines")
-    labels = line_classes(source, edits)
+    lines = materialize(map_blocks(source, kernel, f"{', '.join(f'{c} bigint' for c in _LANES)}, "
+                                   f"doc_id {kind}, row_key bigint, number int, id bigint"), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_key", "number")
-    each = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    each = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"),
+                                   *[F.first(c).alias(c) for c in _LANES])
     each = materialize(each, "firsts")
+    labels = line_classes(source, each, edits)
     named = each.join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left") \
         .select("id", "first", "n", F.coalesce("label", "id").alias("label"))
     named = materialize(named, "named")
     heads = named.groupBy("label").agg(F.min("first").alias("head"), F.sum("n").alias("all")).filter("all > 1")
     firsts = materialize(named.select("id", "label").join(heads, "label").select("id", "head"), "heads")
-    met = lookup_join(lines, firsts, ["id"], "inner")
+    met = lookup_join(lines.drop(*_LANES), firsts, ["id"], "inner")
     gone = met.filter((F.col("row_key") != F.col("head.row_key")) | (F.col("number") != F.col("head.number")))
     return gone.groupBy("row_key").agg(F.collect_set("number").alias("numbers"))
 
