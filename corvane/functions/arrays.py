@@ -12,8 +12,6 @@ PIECE_CODES = {"p": -60, "r": -50, "n": -40, "b": -30, "q": -20, "k": -10, ".":
                "K": 10, "Q": 20, "B": 30, "N": 40, "R": 50, "P": 60}
 PIECE_WEIGHTS = {"p": -15, "r": -75, "n": -45, "b": -45, "q": -100, "k": -150, ".": 0,
                  "K": 150, "Q": 100, "B": 45, "N": 45, "R": 75, "P": 15}
-PIECE_CENTS = {"p": -100, "r": -525, "n": -350, "b": -350, "q": -1000, "k": -10000, ".": 0,
-               "K": 10000, "Q": 1000, "B": 350, "N": 350, "R": 525, "P": 100}
 # Fixed values: (code, piece, side) rows in listing order; a repeated code keeps its last row.
 WEIGHT_PIECES = [(-15, "pawn", "black"), (-75, "rook", "black"), (-45, "knight", "black"),
                  (-45, "bishop", "black"), (-100, "queen", "black"), (-150, "king", "black"),

@@ -18,8 +18,9 @@ def transition_counts(tr: DataFrame) -> DataFrame:
 def transition_model(tr: DataFrame) -> DataFrame:
     """P(s_next given s, a) and the mean reward; a null ``s_next`` is the terminal outcome."""
     counts = materialize(transition_counts(tr), "model")
-    totals = counts.groupBy("s", "a").agg(F.sum("n").alias("total"))
-    return counts.join(totals, ["s", "a"]).select(
+    totals = counts.groupBy(F.col("s").alias("__s"), F.col("a").alias("__a")).agg(F.sum("n").alias("total"))
+    same = F.col("s").eqNullSafe(F.col("__s")) & F.col("a").eqNullSafe(F.col("__a"))
+    return counts.join(totals, same).select(
         "s", "a", "s_next", "n", (F.col("n") / F.col("total")).alias("p"), (F.col("sum_r") / F.col("n")).alias("mean_r"))
 
 

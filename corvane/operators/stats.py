@@ -88,7 +88,10 @@ def confusion(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, y: str, yhat: str, classes: Sequence[int]) -> DataFrame:
+    """Rows per class ``y`` by prediction; ``pred_other`` counts predictions outside ``classes``, null ones too."""
     cells = [F.sum(F.when(F.col(yhat) == c, 1).otherwise(0)).alias(f"pred_{c}") for c in classes]
+    known = F.coalesce(F.col(yhat).isin(list(classes)), F.lit(False))
+    cells.append(F.sum(F.when(known, 0).otherwise(1)).alias("pred_other"))
     return df.groupBy(F.col(y).alias("y")).agg(*cells)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,34 +45,53 @@ def _padded(ids: Column, fill: Column, width: Column, side: str) -> Column:
     return F.concat(pads, ids) if side == "left" else F.concat(ids, pads)
 
 
+def _looked_up(df: DataFrame, vocab: DataFrame, key: Sequence[str], unk_id: int) -> DataFrame:
+    """Ids of the word lists in ``__tokens``, from a vocabulary that every task holds."""
+    known = vocab.toArrow()
+    held = df.sparkSession.sparkContext.broadcast(
+        (known.column("token").combine_chunks(), known.column("id").cast(pa.int32()).combine_chunks()))
+
+    def run(batches):
+        words, ids = held.value
+        for batch in batches:
+            lists = batch.column("__tokens")
+            found = ids.take(pc.index_in(lists.flatten().cast(words.type), value_set=words)).fill_null(unk_id)
+            ends = pa.concat_arrays([pa.array([0], pa.int32()),
+                                     pc.cumulative_sum(lists.value_lengths().fill_null(0)).cast(pa.int32())])
+            columns = [batch.column(k) for k in key] + [pa.ListArray.from_arrays(ends, found)]
+            yield pa.RecordBatch.from_arrays(columns, [*key, "input_ids"])
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in key)
+    return df.mapInArrow(run, f"{kinds}, input_ids array<int>")
+
+
 def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "right",
            pad_id: int = EOS_ID, unk_id: int = UNK_ID, text: str = "text",
            key: Sequence[str] = ("doc_id",), head: int | None = None) -> DataFrame:
     """Token ids cut to ``length`` and padded, with mask and labels; ``side=None`` does not pad.
 
-    ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. A vocabulary that
-    does not fit a broadcast is cut: its ``head`` most frequent short tokens are
-    broadcast, and only rare or very long tokens need a shuffled lookup. Tokens beyond
-    ``length`` never leave the scan stage, and a group is one text of at most
-    ``length`` ids.
+    ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. One that is measured to
+    fit a broadcast is looked up inside each row, without a shuffle. A larger one is cut: its
+    ``head`` most frequent short tokens are broadcast, and only rare or very long tokens need
+    a shuffled lookup. Tokens beyond ``length`` never leave the scan stage, and a group is one
+    text of at most ``length`` ids.
     """
     head = limit(df.sparkSession, "broadcastRows", BROADCAST_ROWS, head)
     tokens = F.slice(tx.words(F.col(text)), 1, length)
-    exploded = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
     table = vocab.select("token", "id")
     if fits_broadcast(table, head)[1]:
-        known = exploded.join(F.broadcast(table), "token", "left")
+        ids = _looked_up(df.select(*key, tokens.alias("__tokens")), table, key, unk_id)
     else:
+        exploded = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
         edge = table.agg(F.min("id")).first()[0] + head
         frequent = (F.col("id") < edge) & (F.octet_length("token") <= SHORT_BYTES)
         near = exploded.join(F.broadcast(table.filter(frequent)), "token", "left")
         rare = near.filter("id is null and token is not null").drop("id")
         known = near.filter("id is not null or token is null").unionByName(
             lookup_join(rare, table.filter(~frequent), ["token"], fits=False))
-    item = F.when(F.col("token").isNotNull(),
-                  F.struct("pos", F.coalesce("id", F.lit(unk_id)).cast("int").alias("id")))
-    ids = (known.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-           .select(*key, F.transform("__items", lambda x: x["id"]).alias("input_ids")))
+        item = F.when(F.col("token").isNotNull(),
+                      F.struct("pos", F.coalesce("id", F.lit(unk_id)).cast("int").alias("id")))
+        ids = (known.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("__items"))
+               .select(*key, F.transform("__items", lambda x: x["id"]).alias("input_ids")))
     if side is None:
         return ids
     col, width = F.col("input_ids"), F.lit(length)

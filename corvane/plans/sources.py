@@ -128,14 +128,14 @@ def s8(t):
 @query("s9_parse_game_records", """
     SELECT doc_id, 'Event ' || doc_id AS event, source AS white, lang AS black, n_moves, first_move, md5(moves) AS moves_md5 FROM (
       SELECT doc_id, source, lang, len(m)::INT AS n_moves, m[1] AS first_move, array_to_string(m, ' ') AS moves FROM (
-        SELECT doc_id, source, lang, list_filter(list_transform(regexp_split_to_array(replace(replace(text, '[', '('), '{', '('), '\\s+'),
+        SELECT doc_id, source, lang, list_filter(list_transform(regexp_split_to_array(translate(text, '[{();$', '______'), '\\s+'),
           lambda w: regexp_replace(w, '^[0-9]+\\.+', '')),
           lambda w: w <> '' AND w NOT IN ('1-0', '0-1', '1/2-1/2', '*')) AS m FROM documents WHERE lang <> 'de'))""")
 def s9(t):
     """Documents written as one record file: players are source and language, moves the words.
     German records lack a player and must be skipped."""
     path = scratch_path(t.spark, "records")
-    text = F.replace(F.replace("text", F.lit("["), F.lit("(")), F.lit("{"), F.lit("("))
+    text = F.translate("text", "[{();$", "______")
     black = F.when(F.col("lang") == "de", "").otherwise(F.concat(F.lit('[Black "'), "lang", F.lit('"]\n')))
     record = F.concat(F.lit('[Event "Event '), F.col("doc_id").cast("string"), F.lit('"]\n[White "'), "source", F.lit('"]\n'),
                       black, F.lit("\n1."), text, F.lit(" 1-0"))

@@ -12,7 +12,7 @@ from corvane.operators import tokens as tk
 from corvane.plans import query
 from corvane.plans.rows import BOARD, board, sql_map
 from corvane.scale import spread
-from corvane.plans.text import _ENCODED, _PAIRS, _lookback, _turn_pairs, _vocab
+from corvane.plans.text import _ENCODED, _PAIRS, _lookback, _turn_pairs, encoded
 
 
 @query("a1_row_counts", """
@@ -113,7 +113,8 @@ def a8(t):
 
 
 @query("a9_confusion_matrix", f"""
-    SELECT y, sum((yhat = 0)::INT)::BIGINT AS pred_0, sum((yhat = 1)::INT)::BIGINT AS pred_1 FROM {_SCORED} GROUP BY y""")
+    SELECT y, sum((yhat = 0)::INT)::BIGINT AS pred_0, sum((yhat = 1)::INT)::BIGINT AS pred_1,
+      sum((yhat NOT IN (0, 1))::INT)::BIGINT AS pred_other FROM {_SCORED} GROUP BY y""")
 def a9(t):
     return st.confusion_matrix(_scored(t), "y", "yhat", [0, 1])
 
@@ -250,7 +251,7 @@ def a17(t):
     WITH {_ENCODED} SELECT count(*) AS n_rows, 512 AS min_len, 512 AS max_len,
       round(avg((len(ids) < 512 OR list_contains(ids, 2))::INT), 6) AS padded_share FROM ids""")
 def a18(t):
-    return st.profile(tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512), "input_ids", tk.EOS_ID).withColumn(
+    return st.profile(encoded(t), "input_ids", tk.EOS_ID).withColumn(
         "padded_share", F.round("padded_share", 6))
 
 

@@ -11,8 +11,10 @@ from corvane.streaming import state as ss
 
 
 def _stream(t, name):
-    """Files of the table as a stream; a micro-batch is limited, so no key brings more than that at once."""
-    return t.spark.readStream.schema(t(name).schema).option("maxBytesPerTrigger", 512 * 2 ** 20).option("pathGlobFilter", f"{name}.parquet").parquet(t.sf_dir)
+    """The files of the table, one or many, as a stream. All that is there forms one micro-batch, because
+    state follows the order of a key's rows inside a batch only: any limit would let file order decide."""
+    either = f"{t.sf_dir.rstrip('/')}/{{{name}}}.parquet"  # a pattern may name a file or a folder; a plain path must be a folder
+    return t.spark.readStream.schema(t(name).schema).parquet(either)
 
 
 @query("st1_running_state", RUNNING)
@@ -44,14 +46,14 @@ def st2(t):
 
 
 @query("st3_stream_records", """
-    SELECT conv_id, turn, len(list_filter(regexp_split_to_array(replace(replace(text, '[', '('), '{', '('), '\\s+'), lambda w:
+    SELECT conv_id, turn, len(list_filter(regexp_split_to_array(translate(text, '[{();$', '______'), '\\s+'), lambda w:
       regexp_replace(w, '^[0-9]+\\.+', '') NOT IN ('', '1-0', '0-1', '1/2-1/2', '*')))::INT AS n_moves
     FROM conversations WHERE role <> 'system'""")
 def st3(t):
     """Turns written as record files; system turns lack a player and must be skipped."""
     path = scratch_path(t.spark, "records")
     white = F.when(F.col("role") == "system", "").otherwise(F.concat(F.lit('[White "'), "role", F.lit('"]\n')))
-    text = F.replace(F.replace("text", F.lit("["), F.lit("(")), F.lit("{"), F.lit("("))
+    text = F.translate("text", "[{();$", "______")
     record = F.concat(F.lit('[Event "'), F.concat_ws(" ", "conv_id", "turn"), F.lit('"]\n'), white,
                       F.lit('[Black "x"]\n\n1.'), text)
     t("conversations").select(record.alias("value")).write.option("lineSep", "\n\n").text(path)

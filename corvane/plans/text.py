@@ -166,14 +166,27 @@ def t12(t):
     return t("conversations").select("conv_id", "turn", tp.render_qa(F.col("text"), context).alias("prompt"))
 
 
-_ENCODED = f"""
+def _chunks(size: int, overlap: int) -> str:
+    """Cleaned documents cut into chunks; a chunk of ``size`` characters has ``size / 2`` words at most."""
+    return f"""(SELECT doc_id, i::INT AS chunk_ix, substr(clean, s, e - s + 1) AS text FROM (
+      SELECT doc_id, clean, i, i*{size} - (CASE WHEN i > 0 THEN {overlap} ELSE 0 END) + 1 AS s, (i+1)*{size} AS e FROM (
+        SELECT doc_id, clean, unnest(range(0, (length(clean) + {size - 1})//{size})) AS i FROM (
+          SELECT doc_id, regexp_replace(regexp_replace(text, '\\n{{2,}}', chr(10), 'g'), '{WS}{{2,}}', ' ', 'g') AS clean FROM documents)))
+    WHERE length(substr(clean, s, e - s + 1)) >= {size // 2})"""
+
+
+def _ids(size: int, overlap: int) -> str:
+    return f"""chunks AS {_chunks(size, overlap)},
     vocab AS (SELECT w AS token, row_number() OVER (ORDER BY count(*) DESC, w) + 2 AS id
-              FROM (SELECT unnest({_words('text')}) AS w FROM documents) GROUP BY w),
-    toks AS (SELECT doc_id, {_words('text')}[1:512] AS w FROM documents),
-    ids AS (SELECT d.doc_id, coalesce(list(v.id ORDER BY d.p) FILTER (v.id IS NOT NULL), []) AS ids
-            FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [NULL] ELSE w END) AS w,
+              FROM (SELECT unnest({_words('text')}) AS w FROM chunks) GROUP BY w),
+    toks AS (SELECT doc_id, chunk_ix, {_words('text')} AS w FROM chunks),
+    ids AS (SELECT d.doc_id, d.chunk_ix, coalesce(list(v.id ORDER BY d.p) FILTER (v.id IS NOT NULL), []) AS ids
+            FROM (SELECT doc_id, chunk_ix, unnest(CASE WHEN len(w) = 0 THEN [NULL] ELSE w END) AS w,
                          generate_subscripts(CASE WHEN len(w) = 0 THEN [NULL] ELSE w END, 1) AS p FROM toks) d
-            LEFT JOIN vocab v ON v.token = d.w GROUP BY d.doc_id)"""
+            LEFT JOIN vocab v ON v.token = d.w GROUP BY d.doc_id, d.chunk_ix)"""
+
+
+_ENCODED = _ids(1024, 100)
 
 
 def _pad(side: str, expr: str, fill: str, n: str = "512") -> str:
@@ -185,7 +198,7 @@ def _pad(side: str, expr: str, fill: str, n: str = "512") -> str:
 def _encode_sql(side: str) -> str:
     ids = _pad(side, "ids", "2")
     return f"""WITH {_ENCODED}
-        SELECT doc_id, {ids} AS input_ids, {_pad(side, 'list_transform(ids, lambda i: 1)', '0')} AS attention_mask,
+        SELECT doc_id, chunk_ix, {ids} AS input_ids, {_pad(side, 'list_transform(ids, lambda i: 1)', '0')} AS attention_mask,
                {ids} AS labels FROM ids"""
 
 
@@ -193,67 +206,62 @@ def _flat(df, *arrays):
     return df.withColumns({a: F.array_join(a, " ") for a in arrays})
 
 
-def _vocab(t):
-    """The vocabulary as a written table, which every later encoding reads."""
-    return materialize(tk.build_vocab(t.spread("documents", "doc_id"), specials=()), "vocab")
+KEY = ("doc_id", "chunk_ix")
 
 
-@query("t14_encode", _encode_sql("right"))
-def t14(t):
-    out = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512)
-    return _flat(out, "input_ids", "attention_mask", "labels")
+def encoded(t, size: int = 1024, overlap: int = 100, side: str | None = "right"):
+    """Chunks of all documents, encoded with their own vocabulary; ``size // 2`` ids hold any chunk whole."""
+    docs = t.spread("documents", "doc_id").withColumn("text", tx.clean_ws(F.col("text")))
+    chunks = materialize(ck.chunk_lookback(docs, size, overlap).withColumnRenamed("chunk", "text"), "chunks")
+    vocab = materialize(tk.build_vocab(chunks, specials=()), "vocab")
+    return tk.encode(chunks, vocab, size // 2, side=side, key=KEY)
 
 
-_CHUNKS = f"""(SELECT doc_id, i::INT AS chunk_ix, substr(clean, s, e - s + 1) AS text FROM (
-      SELECT doc_id, clean, i, i*512 - (CASE WHEN i > 0 THEN 50 ELSE 0 END) + 1 AS s, (i+1)*512 AS e FROM (
-        SELECT doc_id, clean, unnest(range(0, (length(clean) + 511)//512)) AS i FROM (
-          SELECT doc_id, regexp_replace(regexp_replace(text, '\\n{{2,}}', chr(10), 'g'), '{WS}{{2,}}', ' ', 'g') AS clean FROM documents)))
-    WHERE length(substr(clean, s, e - s + 1)) >= 256)"""
+@query("t14_encode", _encode_sql("right"))
+def t14(t):
+    return _flat(encoded(t), "input_ids", "attention_mask", "labels")
 
 
 @query("t14_training_rows", f"""
-    WITH chunks AS {_CHUNKS},
-    vocab AS (SELECT w AS token, row_number() OVER (ORDER BY count(*) DESC, w) + 2 AS id
-              FROM (SELECT unnest({_words('text')}) AS w FROM chunks) GROUP BY w),
-    toks AS (SELECT doc_id, chunk_ix, unnest(({_words('text')})[1:128]) AS w,
-                    generate_subscripts(({_words('text')})[1:128], 1) AS p FROM chunks),
-    ids AS (SELECT doc_id, chunk_ix, list(id ORDER BY p) AS ids FROM toks JOIN vocab ON token = w GROUP BY ALL)
-    SELECT doc_id, chunk_ix, {_pad('right', 'ids', '2', '128')} AS input_ids, len(ids)::INT AS n_tokens FROM ids""")
+    WITH {_ids(512, 50)}
+    SELECT doc_id, chunk_ix, {_pad('right', 'ids', '2', '256')} AS input_ids, len(ids)::INT AS n_tokens FROM ids""")
 def t14_rows(t):
-    """Documents cleaned, cut, and encoded to rows of 128 ids."""
-    docs = t.spread("documents", "doc_id").withColumn("text", tx.clean_ws(F.col("text")))
-    chunks = materialize(ck.chunk_lookback(docs, 512, 50).withColumnRenamed("chunk", "text"), "chunks")
-    vocab = materialize(tk.build_vocab(chunks, specials=()), "vocab")
-    rows = tk.encode(chunks, vocab, 128, key=("doc_id", "chunk_ix"))
+    """Documents cleaned, cut, and encoded to rows of 256 ids."""
     used = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_tokens")
-    return _flat(rows.select("doc_id", "chunk_ix", "input_ids", used), "input_ids")
+    return _flat(encoded(t, 512, 50).select(*KEY, "input_ids", used), "input_ids")
+
+
+@query("t14_no_token_lost", f"""
+    WITH chunks AS {_chunks(1024, 100)} SELECT doc_id, sum(len({_words('text')}))::BIGINT AS n_tokens FROM chunks GROUP BY doc_id""")
+def t14_whole(t):
+    """Ids per document over all its encoded chunks: as many as its chunks have words."""
+    return encoded(t, side=None).groupBy("doc_id").agg(F.sum(F.size("input_ids")).alias("n_tokens"))
 
 
 @query("t15_encode_left", _encode_sql("left"))
 def t15(t):
-    out = tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side="left")
-    return _flat(out, "input_ids", "attention_mask", "labels")
+    return _flat(encoded(t, side="left"), "input_ids", "attention_mask", "labels")
 
 
 @query("t15_pad_to_longest", f"""WITH {_ENCODED},
-    b AS (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 32 AS batch FROM ids),
+    b AS (SELECT *, (row_number() OVER (ORDER BY doc_id, chunk_ix) - 1) // 32 AS batch FROM ids),
     m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS width FROM b)
-    SELECT doc_id, batch, width::INT AS width, {_pad('right', 'ids', '2', 'width')} AS input_ids FROM m""")
+    SELECT doc_id, chunk_ix, batch, width::INT AS width, {_pad('right', 'ids', '2', 'width')} AS input_ids FROM m""")
 def t15_longest(t):
-    ids = materialize(tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side=None), "ids")
-    out = tk.pad_to_longest(tk.assign_batches(ids, ["doc_id"], 32), "batch")
-    return _flat(out.select("doc_id", "batch", "width", "input_ids"), "input_ids")
+    ids = materialize(encoded(t, side=None), "ids")
+    out = tk.pad_to_longest(tk.assign_batches(ids, KEY, 32), "batch")
+    return _flat(out.select(*KEY, "batch", "width", "input_ids"), "input_ids")
 
 
 @query("t16_collate", f"""WITH {_ENCODED},
-    b AS (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 32 AS batch FROM ids),
+    b AS (SELECT *, (row_number() OVER (ORDER BY doc_id, chunk_ix) - 1) // 32 AS batch FROM ids),
     m AS (SELECT *, ((max(len(ids)) OVER (PARTITION BY batch) + 7) // 8) * 8 AS width FROM b)
-    SELECT doc_id, batch, width::INT AS width, {_pad('right', 'ids', '2', 'width')} AS input_ids,
+    SELECT doc_id, chunk_ix, batch, width::INT AS width, {_pad('right', 'ids', '2', 'width')} AS input_ids,
            {_pad('right', 'ids', '-100', 'width')} AS labels FROM m""")
 def t16(t):
-    ids = materialize(tk.encode(t.spread("documents", "doc_id"), _vocab(t), 512, side=None), "ids")
-    out = tk.collate(tk.assign_batches(ids, ["doc_id"], 32), "batch", multiple=8)
-    return _flat(out.select("doc_id", "batch", "width", "input_ids", "labels"), "input_ids", "labels")
+    ids = materialize(encoded(t, side=None), "ids")
+    out = tk.collate(tk.assign_batches(ids, KEY, 32), "batch", multiple=8)
+    return _flat(out.select(*KEY, "batch", "width", "input_ids", "labels"), "input_ids", "labels")
 
 
 @query("t17_token_count", f"""

@@ -18,9 +18,6 @@ from pyspark.sql import types as T
 ROWS_PER_TASK = 1_000_000
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 2 ** 20
-HOT_KEYS = 10_000
-MAX_RANGES = 10_000
-SALTS = 256
 _BUCKETS = 4096
 _COLLECT_ROWS = 10_000
 _PART = "__part"
@@ -121,7 +118,7 @@ class Ordered:
         self.split = largest > rows_per_task
         if self.split:
             parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                        min(MAX_RANGES, -(-rows // rows_per_task)))
+                        -(-rows // rows_per_task))
             df = materialize(
                 df.repartitionByRange(parts, *self.key, *self.order)
                 .withColumn(_PART, F.spark_partition_id()), "ranges")
@@ -234,7 +231,8 @@ class Ordered:
         for n, c in self._lead.items():
             fixed[n] = F.when(F.col("__is_last"), F.col(f"__edge_{n}")[c]).otherwise(F.col(n))
         for n in self._sums:
-            fixed[n] = F.col(n) + F.coalesce(F.col(f"__add_{n}"), F.lit(0))
+            # A sum that has met only nulls so far is null; it must not hide what was carried, nor the reverse.
+            fixed[n] = F.coalesce(F.col(n) + F.col(f"__add_{n}"), F.col(n), F.col(f"__add_{n}"))
         for n, (_, past, _) in self._past.items():
             if past:
                 prior, short = F.col(f"__prior_{n}"), F.lit(past) - F.col("__at")
@@ -255,7 +253,8 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "ix",
     narrow = Ordered(df.select(*order), [], order, rows_per_task).index(name).result()
     if set(df.columns) == set(order):
         return narrow
-    return df.join(narrow, order)
+    same = reduce(Column.__and__, [df[c].eqNullSafe(narrow[c]) for c in order])
+    return df.join(narrow, same).select(df["*"], narrow[name])
 
 
 def _bounds(df: DataFrame) -> tuple[int, int, int]:
@@ -322,20 +321,20 @@ def lookup_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str =
         return facts.join(F.broadcast(dims), on, how)
     rows_per_task = limit(facts.sparkSession, "rowsPerTask", ROWS_PER_TASK, rows_per_task)
     keyed, keyless = facts.dropna(subset=on), facts.filter(~_all_present(on))
-    # Any key past the first HOT_KEYS holds less than one HOT_KEYS-th of the rows.
-    hot = (keyed.groupBy(*on).count().filter(F.col("count") > rows_per_task)
-           .orderBy(F.desc("count")).limit(HOT_KEYS).select(*on))
-    hot = materialize(hot, "hot")
-    if hot.isEmpty():
+    counted = materialize(keyed.groupBy(*on).agg(F.count("*").alias("__n")).filter(F.col("__n") > rows_per_task), "hot")
+    top = counted.agg(F.max("__n")).first()[0]
+    hot = counted.select(*on)  # at most one key per rows_per_task rows
+    if top is None:
         out = keyed.join(dims, on, how)
     else:
+        salts = -(-top // rows_per_task)
         hot_dims = dims.join(F.broadcast(hot), on, "left_semi")
         hot_rows = keyed.join(F.broadcast(hot), on, "left_semi")
-        if fits_broadcast(hot_dims, HOT_KEYS, broadcast_bytes)[1]:
+        if fits_broadcast(hot_dims, broadcast_rows, broadcast_bytes)[1]:
             hot_out = hot_rows.join(F.broadcast(hot_dims), on, how)
         else:  # few but wide rows: each goes to every salt, the facts to one
-            salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
-            every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+            salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+            every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
             hot_out = hot_rows.withColumn("__salt", salt).join(
                 hot_dims.withColumn("__salt", every), [*on, "__salt"], how).drop("__salt")
         out = hot_out.unionByName(keyed.join(F.broadcast(hot), on, "left_anti").join(dims, on, how))

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SEP = "\n\n[Event "
+_SEP = "\n[Event "  # also ends a line of "\r\n"
+_DEPTH = 8  # levels of nested variations that are taken out
 _HEADER = r'\[(\w+) "([^"]*)"\]'
 _MOVE_NUMBER = r"^[0-9]+\.+"
 # Game results, which end a move text and are not moves.
@@ -16,8 +17,12 @@ RESULTS = ("1-0", "0-1", "1/2-1/2", "*")
 
 
 def moves(text: Column) -> Column:
-    """Move tokens without move numbers, comments and the result."""
-    plain = F.regexp_replace(text, r"\{[^}]*\}", " ")
+    """Move tokens of the main line: no move numbers, comments (braces, or ``;`` to the end of the line),
+    glyphs (``$n``), variations in parentheses and result."""
+    plain = F.regexp_replace(F.regexp_replace(text, r"\{[^}]*\}", " "), r";[^\n]*", " ")
+    plain = F.regexp_replace(plain, r"\$[0-9]+", " ")
+    for _ in range(_DEPTH):
+        plain = F.regexp_replace(plain, r"\([^()]*\)", " ")
     tokens = F.transform(F.split(plain, r"\s+"), lambda t: F.regexp_replace(t, _MOVE_NUMBER, ""))
     return F.filter(tokens, lambda t: (t != "") & ~t.isin(*RESULTS))
 
@@ -25,9 +30,9 @@ def moves(text: Column) -> Column:
 def parse_game_records(records: DataFrame, text: str = "value", cap: int | None = None) -> DataFrame:
     """(headers, moves) per record; undecodable records and those without both players are skipped.
 
-    ``cap`` keeps that many games, as a limit on the parsed table.
+    Lines may end in ``\n`` or ``\r\n``. ``cap`` keeps that many games, as a limit on the parsed table.
     """
-    body = F.col(text)
+    body = F.replace(F.col(text), F.lit("\r"), F.lit(""))
     first = F.startswith(F.ltrim(body), F.lit("[Event "))
     whole = F.when(first, F.ltrim(body)).otherwise(F.concat(F.lit("[Event "), body))
     parts = F.split(whole, "\n\n", 2)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from math import sqrt
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from corvane.scale import scratch_path
 from corvane.sources.records import _SEP, parse_game_records
 
+# Stateful processors also start in a process that gets no shipped files, so they travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -127,5 +132,6 @@ def run_available(stream: DataFrame, name: str = "stream") -> DataFrame:
         else:
             spark.conf.set(_PROVIDER, before)
     if not any(p["numInputRows"] for p in query.recentProgress):
+        # An empty source gives an empty table; a wrong path fails when the stream is defined.
         return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(f"{path}/out")

@@ -80,9 +80,9 @@ def test_auc_with_ties(spark):
 
 
 def test_reigns(spark):
-    lines = [" 1948, 1951, 1954 (Botvinnik)", "            1957 (Smyslov)", "            1958 (Botvinnik)", "no name"]
+    lines = [" 1901, 1903, 1911 (Alder)", "            1917 (Birch)", "            1920 (Alder)", "no name"]
     got = st.union_sets(lk.parse_reigns(spark.createDataFrame([(x,) for x in lines], "line string"), "line"), "alias", "year")
-    assert {r["alias"]: r["members"] for r in got.collect()} == {"Botvinnik": ["1948", "1951", "1954", "1958"], "Smyslov": ["1957"]}
+    assert {r["alias"]: r["members"] for r in got.collect()} == {"Alder": ["1901", "1903", "1911", "1920"], "Birch": ["1917"]}
 
 
 def test_fill_chain(spark):
@@ -291,3 +291,16 @@ def test_terminal_row(spark):
     assert got == [(0, [0, 0], "a"), (1, [1, 0], "b"), (2, [1, 1], "a")]
     last = sq.trajectory(df, ["k"], ["t"], "v", ["a", "b"], terminal=True).filter("action is null").first()
     assert (last["step"], last["state"]) == (3, [2, 1])
+
+
+def test_transition_model_keeps_null_states_and_actions(spark):
+    rows = [("s", "a", "t", 1.0), (None, "a", "t", 2.0), ("s", None, None, 3.0), ("s", None, "t", 5.0)]
+    got = dc.transition_model(spark.createDataFrame(rows, "s string, a string, s_next string, r double")).collect()
+    assert {(r["s"], r["a"], r["s_next"]): (r["p"], r["mean_r"]) for r in got} == {
+        ("s", "a", "t"): (1.0, 1.0), (None, "a", "t"): (1.0, 2.0), ("s", None, None): (0.5, 3.0), ("s", None, "t"): (0.5, 5.0)}
+
+
+def test_confusion_matrix_counts_unlisted_predictions(spark):
+    df = spark.createDataFrame([(0, 0), (0, 2), (1, None), (1, 1)], "y int, yhat int")
+    got = {r["y"]: (r["pred_0"], r["pred_1"], r["pred_other"]) for r in st.confusion_matrix(df, "y", "yhat", [0, 1]).collect()}
+    assert got == {0: (1, 0, 1), 1: (0, 1, 1)}

@@ -172,3 +172,18 @@ def test_search_in_small_score_blocks(monkeypatch):
     for q in range(9):
         want = sorted((((vecs[q] - v) ** 2).sum().round(9), i) for i, v in enumerate(vecs))[:5]
         assert list(whole[whole["__q"] == q]["__id"]) == [i for _, i in want]
+
+
+def test_nulls_give_the_same_on_both_paths(spark):
+    rows = [("k", i, None if i % 3 else i) for i in range(40)] + [("z", i, None) for i in range(12)] + [(None, i, 1) for i in range(9)]
+    df = spark.createDataFrame(rows, "k string, i long, v long")
+
+    def run(rows_per_task):
+        o = scale.Ordered(df, ["k"], ["i"], rows_per_task).running(total=F.col("v")).running(inclusive=False, before=F.col("v"))
+        return sorted(map(str, o.result().collect()))
+    assert run(5) == run(1000)
+
+
+def test_global_index_keeps_rows_without_an_order_value(spark):
+    df = spark.createDataFrame([(None, "a"), (3, "b"), (1, "c")], "o long, v string")
+    assert {r["v"]: r["ix"] for r in scale.global_index(df, ["o"]).collect()} == {"a": 0, "c": 1, "b": 2}

@@ -12,27 +12,27 @@ from corvane.sources import files, pages, records, tables
 from corvane.streaming import state as ss
 
 W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
-GAMES = '''[Event "Wch U16"]
-[Site "Wattignies"]
-[White "Chandler, Murray G"]
-[Black "Kasparov, Gary"]
+GAMES = '''[Event "Club A"]
+[Site "Harbour"]
+[White "Fern, Olive"]
+[Black "Moss, Ida"]
 [Result "1-0"]
-[ECO "B22"]
+[ECO "A00"]
 
-1.e4 c5 2.c3 Nf6 3.e5
-Nd5 {a comment} 4.d4 Nc6  1-0
+1.g3 d5 2.Bg2 $1 e5 (2... c6 3. d3 (3. Nf3 Bg4) Nf6) 3.d3 ; a quiet line
+Nf6 {a comment} 4.Nf3 Nc6  1-0
 
-[Event "Bad record"]
+[Event "No partner"]
 [White "Nobody"]
 
-1.e4 e5 *
+1.a3 a6 *
 
 [Event "Second"]
-[White "Kasparov, Gary"]
-[Black "Short, Nigel"]
-[Black "Karpov, Anatoly"]
+[White "Moss, Ida"]
+[Black "Reed, Tom"]
+[Black "Fern, Olive"]
 
-1. d4 Nf6 2. c4 e6 1/2-1/2
+1. f4 Nf6 2. e3 e6 1/2-1/2
 '''
 
 
@@ -68,23 +68,24 @@ def test_route(spark):
     assert [r["kind"] for r in files.route(df, strict=False).collect()] == ["text", "text", "docx", "text"]
 
 
-def test_records(spark, tmp_path):
-    (tmp_path / "games.txt").write_text(GAMES)
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_records(spark, tmp_path, ends):
+    (tmp_path / "games.txt").write_bytes(GAMES.replace("\n", ends).encode())
     got = {r["headers"]["Event"]: r for r in records.read_game_records(spark, str(tmp_path)).collect()}
-    assert set(got) == {"Wch U16", "Second"}
-    assert got["Wch U16"]["moves"] == ["e4", "c5", "c3", "Nf6", "e5", "Nd5", "d4", "Nc6"]
-    assert got["Wch U16"]["headers"]["ECO"] == "B22" and got["Wch U16"]["headers"]["Black"] == "Kasparov, Gary"
-    assert got["Second"]["moves"] == ["d4", "Nf6", "c4", "e6"]
-    assert got["Second"]["headers"]["Black"] == "Karpov, Anatoly"
+    assert set(got) == {"Club A", "Second"}
+    assert got["Club A"]["moves"] == ["g3", "d5", "Bg2", "e5", "d3", "Nf6", "Nf3", "Nc6"]
+    assert got["Club A"]["headers"]["ECO"] == "A00" and got["Club A"]["headers"]["Black"] == "Moss, Ida"
+    assert got["Second"]["moves"] == ["f4", "Nf6", "e3", "e6"]
+    assert got["Second"]["headers"]["Black"] == "Fern, Olive"
     assert records.read_game_records(spark, str(tmp_path), cap=1).count() == 1
 
 
 def test_undecodable_record_is_skipped(spark, tmp_path):
-    third = GAMES.split("\n\n[Event ")[2].encode().replace(b"d4", b"d4\xff\xfe")
+    third = GAMES.split("\n\n[Event ")[2].encode().replace(b"f4", b"f4\xff\xfe")
     whole = GAMES.encode() + b"\n[Event " + third + b"\n"
     (tmp_path / "games.txt").write_bytes(whole)
     got = [r["headers"]["Event"] for r in records.read_game_records(spark, str(tmp_path)).collect()]
-    assert sorted(got) == ["Second", "Wch U16"]
+    assert sorted(got) == ["Club A", "Second"]
 
 
 def test_stream_of_records_equals_batch(spark, tmp_path):
@@ -197,3 +198,27 @@ def test_q_update_replays_the_model(spark, sf, tmp_path):
             want[last["event_id"]] = w[k]
         per_user[r["user_id"]] = (w, n, r)
     assert got == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def test_streams_read_tables_of_one_file_and_of_many(spark, sf, tmp_path):
+    from corvane.plans import load_all
+    for name in ("conversations", "events"):
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(4, F.rand(3)).write.parquet(f"{tmp_path}/{name}.parquet")
+    for query in ("st1_running_state", "st2_q_update"):
+        run = load_all()[query].run
+        assert sorted(run(spark, str(tmp_path)).collect()) == sorted(run(spark, sf).collect())
+
+
+def test_workers_need_no_package_on_their_path(tmp_path, sf):
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (f"import sys; sys.path.insert(0, {root!r})\n"
+              "from corvane.session import local_session\nfrom corvane.plans import load_all\n"
+              "spark = local_session(2, 'away', '2g')\n"
+              "for q in ('t5_chunk_merge', 'j5_top_k_cosine', 'a12_rouge_l', 's3_extract_docx', 'st1_running_state'):\n"
+              f"    print(q, load_all()[q].run(spark, {sf!r}).limit(3).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split().count("3") == 5, done.stderr[-2000:]
