@@ -12,8 +12,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check import TABLES, compare, connect  # noqa: E402
 
 import __spark_entry__ as entry_module  # noqa: E402
+from corvane.plans import load_all  # noqa: E402
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES = {name: run for name, run in entry_module.queries().items() if name in load_all()}
+SQL = entry_module.oracle_sql()
 LIMITS = {"rowsPerTask": 60, "broadcastRows": 8, "queryValues": 200, "blockValues": 2000, "sampleRows": 10}
 PREFIXES = ("w", "g", "j", "l4", "l5_split_05", "l6", "l7", "a6_batches", "a9_auc", "a20", "a21", "a23_td_error", "t11_apply",
             "t13", "t14", "t16", "t18", "t1_chunk_lookback_256", "t5", "s10", "u3")
