@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from corvane.ship import ship
 WIDTH, PERCENT, ORDERS = 5, 75, 3
 _SEEN_TOKENS = 8 * 2 ** 20
 _SEED = np.uint64(0xA0761D6478BD642F)
+_BITS, _LANES = 512, [f"bits{i}" for i in range(8)]
 _SEEDS = mix(np.arange(1, 17, dtype=np.uint64) * _SEED)
 
 
@@ -40,6 +42,17 @@ def _new(ids: np.ndarray, seen: set[int]) -> np.ndarray:
     return out
 
 
+def parities(tokens: np.ndarray, owner: np.ndarray, n_rows: int) -> dict[str, pa.Array]:
+    """512 bits per row: for each of 512 buckets, whether an odd number of the row's tokens fall into it.
+
+    Two sets differ by at least as many tokens as their bits differ.
+    """
+    cells = owner * _BITS + (mix(tokens ^ _SEEDS[0]) >> np.uint64(64 - 9)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=n_rows * _BITS) & 1).astype(np.uint8)
+    words = np.packbits(odd, bitorder="little").view(np.uint64).reshape(n_rows, len(_LANES))
+    return {name: longs(words[:, i]) for i, name in enumerate(_LANES)}
+
+
 def rows_and_tokens(source: DataFrame, width: int) -> DataFrame:
     """Two kinds of rows of one pass: (key columns, n, id) of every document, and (token, times) of the
     tokens that a task met in two sets or more, for the order of tokens."""
@@ -56,8 +69,8 @@ def rows_and_tokens(source: DataFrame, width: int) -> DataFrame:
             tokens, times = np.unique(np.concatenate(held), return_counts=True)
             tokens, times = tokens[times > 1], times[times > 1]
             none = {c: pa.nulls(len(tokens), kind_of[c]) for c in names}
-            return batch(**none, n=pa.nulls(len(tokens), pa.int64()), id=pa.nulls(len(tokens), pa.int64()),
-                         token=longs(tokens), times=pa.array(times, pa.int64()))
+            none |= {c: pa.nulls(len(tokens), pa.int64()) for c in ("n", "id", *_LANES)}
+            return batch(**none, token=longs(tokens), times=pa.array(times, pa.int64()))
         kinds = None
         for block in blocks(batches):
             kinds = {c: block.column(c).type for c in names}
@@ -69,14 +82,15 @@ def rows_and_tokens(source: DataFrame, width: int) -> DataFrame:
             size += len(held[-1])
             none = pa.nulls(block.num_rows, pa.int64())
             yield batch(**{c: block.column(c) for c in names}, n=pa.array(np.diff(bounds), pa.int64()), id=longs(ids),
-                        token=none, times=none)
+                        **parities(tokens, owner, block.num_rows), token=none, times=none)
             if size > _SEEN_TOKENS:
                 yield counted(kinds)
                 held, size = [], 0
         if held:
             yield counted(kinds)
     columns = ", ".join(f"`{f.name}` {arrow[f.name]}" for f in schema)
-    return source.mapInArrow(run, f"{columns}, n bigint, id bigint, token bigint, times bigint")
+    bits = ", ".join(f"{c} bigint" for c in _LANES)
+    return source.mapInArrow(run, f"{columns}, n bigint, id bigint, {bits}, token bigint, times bigint")
 
 
 class Order:
@@ -187,7 +201,8 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, orde
     Equal sets are one node. Under each global order of tokens a linked pair shares a token of both
     prefixes, so a candidate must do so under all of them: the first order (rare tokens first) finds
     pairs through the tokens they share, the count of shared prefix tokens must leave room for the
-    overlap they need, and the other orders are asked before the sets are compared.
+    overlap they need, 512 parity bits per set must not differ more than linked sets can, and the
+    other orders are asked before the sets are compared.
 
     Returns ``doc_id``, ``n_shingles``, ``component_id`` (least ``doc_id`` of the class), ``set_id``; one row per input
     row. Null or empty text, or no words: 0 shingles, linked with nothing, its own component. Null ids:
@@ -226,7 +241,7 @@ def classes(source: DataFrame, width: int, percent: int, orders: int) -> DataFra
     """Each row of ``source`` without its text, with ``n`` (shingles), ``id`` (its set, 0 if empty) and ``label`` (class)."""
     spark = source.sparkSession
     scanned = materialize(rows_and_tokens(source, width), "sets")
-    nodes = scanned.filter("id <> 0").groupBy("id").agg(F.first("n").alias("n"))
+    nodes = scanned.filter("id <> 0").groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", *_LANES)])
     times = materialize(scanned.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times")), "times")
     often = table(times.filter(F.col("times") >= frequent(times, "times")))
     order = shared(spark, Order(often["token"].view(np.uint64), often["times"]))
@@ -243,17 +258,25 @@ def classes(source: DataFrame, width: int, percent: int, orders: int) -> DataFra
         rest = F.greatest(F.floor((x * percent + 99) / 100), F.floor((y * percent + 99) / 100)) - 1
         return (F.least(x, y) * 100 >= F.greatest(x, y) * percent) & (common + rest >= need)
 
+    def near(left: str, right: str) -> Column:
+        """Whether the bits of two sets allow for as few different tokens as linked sets have."""
+        x, y = F.col(left + "n"), F.col(right + "n")
+        apart = reduce(Column.__add__, [F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in _LANES])
+        return apart <= x + y - 2 * F.ceil((x + y) * percent / (100 + percent) - 1e-9)
+
     def plausible(pairs: DataFrame) -> DataFrame:
-        sized = pairs.join(nodes.select(F.col("id").alias("a"), F.col("n").alias("x")), "a") \
-            .join(nodes.select(F.col("id").alias("b"), F.col("n").alias("y")), "b")
-        return sized.filter(room(F.col("x"), F.col("y"), F.col("shared"))).select("a", "b")
+        both = pairs
+        for side in ("a", "b"):
+            both = both.join(nodes.toDF(side, *[f"{side}_{c}" for c in ("n", *_LANES)]), side)
+        return both.filter(room(F.col("a_n"), F.col("b_n"), F.col("shared")) & near("a_", "b_")).select("a", "b")
 
     def facts(members: DataFrame) -> DataFrame:
         """Size of each set, and how many tokens of its prefix it shares with any other prefix."""
         return members.groupBy("id").agg(F.count("*").alias("common")).join(nodes, "id")
 
     def possible(left: str, right: str) -> Column:
-        return room(F.col(left + "n"), F.col(right + "n"), F.least(left + "common", right + "common"))
+        common = F.least(left + "common", right + "common")
+        return room(F.col(left + "n"), F.col(right + "n"), common) & near(left, right)
 
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
@@ -262,6 +285,6 @@ def classes(source: DataFrame, width: int, percent: int, orders: int) -> DataFra
         return _verified(pairs, sets, order, percent, orders)
 
     labels = linking.classes(met, verify, plausible, facts, possible)
-    rows = scanned.filter("id is not null").drop("token", "times")
+    rows = scanned.filter("id is not null").drop("token", "times", *_LANES)
     named = rows.join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
     return materialize(named.withColumn("label", F.coalesce("label", "id")).drop("of"), "classes")

@@ -75,7 +75,8 @@ def stars(nodes: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("shared"))
 
 
-def residual(nodes: DataFrame, labels: DataFrame, about: DataFrame | None, possible) -> DataFrame:
+def residual(nodes: DataFrame, labels: DataFrame, about: DataFrame | None, possible,
+             owners: bool) -> DataFrame:
     """``a``, ``b``, ``shared``: pairs of nodes with a common key, owned by one of them, in different components.
 
     ``possible(l, r)`` is a condition on the facts of two nodes (columns of ``about``) that every link meets;
@@ -83,16 +84,19 @@ def residual(nodes: DataFrame, labels: DataFrame, about: DataFrame | None, possi
     """
     named = nodes.join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left") \
         .withColumn("label", F.coalesce("label", "id")).drop("of")
-    if about is not None:
-        named = named.join(about, "id")
     named = materialize(named, "named")
     differ = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
-    named = materialize(named.join(materialize(differ, "differ"), "key", "left_semi"), "open")
-    once = (F.col("l.id") < F.col("r.id")) | ~F.col("r.own")
+    named = named.join(materialize(differ, "differ"), "key", "left_semi")
+    if about is not None:
+        named = named.join(about, "id")
+    named = materialize(named if owners else named.drop("own"), "open")
+    once, left = F.col("l.id") < F.col("r.id"), named
+    if owners:
+        once, left = once | ~F.col("r.own"), named.filter("own")
     match = (F.col("l.key") == F.col("r.key")) & once & (F.col("l.label") != F.col("r.label"))
     if about is not None:
         match = match & possible("l.", "r.")
-    pairs = named.filter("own").alias("l").join(named.alias("r"), match)
+    pairs = left.alias("l").join(named.alias("r"), match)
     return pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).groupBy("a", "b") \
         .agg(F.count("*").alias("shared"))
 
@@ -112,7 +116,7 @@ def classes(shared: DataFrame, verify: Callable[[DataFrame], DataFrame],
     links = materialize(verify(first).select("a", "b"), "links")
     labels = materialize(components(links), "labels")
     about = materialize(facts(nodes), "facts") if facts else None
-    rest = plausible(residual(nodes, labels, about, possible))
+    rest = plausible(residual(nodes, labels, about, possible, "own" in shared.columns))
     seen = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     rest = rest.join(seen, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti")
     rest = materialize(rest, "pairs")
