@@ -13,8 +13,7 @@ from corvane.ship import ship
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or their language's perplexity band reject go."""
-    judged = perplexity.quality(docs, prefix="__quality_", keep_text=True)
-    return judged.filter("`__quality_kept`").select(*docs.columns)
+    return perplexity.keep(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
