@@ -111,6 +111,7 @@ def classes(shared: DataFrame, verify: Callable[[DataFrame], DataFrame],
     share; ``verify`` keeps the links. ``facts`` gives columns per ``id`` from the members, for ``possible``. In the star round a pair's keys are counted low, which costs a
     second look and loses nothing.
     """
+    shared = materialize(shared, "shared")  # else its scans and shuffles would run twice
     nodes = materialize(members(shared), "members")
     first = materialize(plausible(stars(nodes)), "pairs")
     links = materialize(verify(first).select("a", "b"), "links")
