@@ -51,15 +51,15 @@ def frequent(counts: DataFrame, count: str = "n", entries: int = TABLE_ENTRIES)
     Rows below it are not lost: the caller handles them without a table in memory.
     """
     steps = F.when(F.col(count) < 4096, F.col(count)) \
-        .otherwise(F.pow(F.lit(2.0), F.floor(F.log2(F.col(count).cast("double")) * 8) / 8)).cast("bigint")
+        .otherwise(F.ceil(F.pow(F.lit(2.0), F.floor(F.log2(F.col(count).cast("double")) * 8) / 8))).cast("bigint")
     histogram = counts.select(steps.alias("step")).groupBy("step").count()
-    cut, total = 1, 0
+    cut, total = 2 ** 62, 0
     for row in sorted(histogram.collect(), reverse=True):  # at most 4,096 + 8 * 52 rows
         total += row["count"]
         if total > entries:
-            cut = row["step"] + 1
-            break
-    return cut
+            return cut
+        cut = row["step"]
+    return 1
 
 
 def table(df: DataFrame, entries: int = TABLE_ENTRIES) -> dict[str, np.ndarray]:

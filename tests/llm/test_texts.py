@@ -189,3 +189,14 @@ def test_measures_need_no_words(spark):
     docs = spark.createDataFrame([(1, ""), (2, "\n\n"), (3, words(3))], "doc_id bigint, text string")
     got = {r["doc_id"]: r["n_words"] for r in perplexity.quality(docs).collect()}
     assert got == {1: 0, 2: 0, 3: 3}
+
+
+def test_frequent_never_takes_more_than_fits(spark):
+    from corvane.llm.rows import frequent
+    random.seed(2)
+    values = [random.choice([1, 2, 3, 9, 4466, 4467, 5000, 10 ** 6 + random.randint(0, 10 ** 5)]) for _ in range(500)]
+    counts = spark.createDataFrame([(v,) for v in values], "n bigint")
+    for entries in (0, 1, 60, 200, 499, 500):
+        cut = frequent(counts, "n", entries)
+        assert sum(v >= cut for v in values) <= entries
+    assert frequent(counts, "n", 500) == 1 and frequent(counts.limit(0), "n", 5) == 1
