@@ -45,23 +45,32 @@ def batch(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def frequent(counts: DataFrame, count: str = "n", entries: int = TABLE_ENTRIES) -> int:
-    """The least count that at most ``entries`` rows reach, from a histogram of the counts.
-
-    Rows below it are not lost: the caller handles them without a table in memory.
-    """
+def histogram(counts: DataFrame, count: str = "n") -> dict[int, int]:
+    """Rows by count: exact below 4,096, by lower bounds of eighths of powers of two above; at most 4,512 entries."""
     steps = F.when(F.col(count) < 4096, F.col(count)) \
         .otherwise(F.ceil(F.pow(F.lit(2.0), F.floor(F.log2(F.col(count).cast("double")) * 8) / 8))).cast("bigint")
-    histogram = counts.select(steps.alias("step")).groupBy("step").count()
+    return {r["step"]: r["count"] for r in counts.select(steps.alias("step")).groupBy("step").count().collect()}
+
+
+def least_count(rows: dict[int, int], entries: int = TABLE_ENTRIES) -> int:
+    """The least step of a histogram that at most ``entries`` rows reach."""
     cut, total = 2 ** 62, 0
-    for row in sorted(histogram.collect(), reverse=True):  # at most 4,096 + 8 * 52 rows
-        total += row["count"]
+    for step in sorted(rows, reverse=True):
+        total += rows[step]
         if total > entries:
             return cut
-        cut = row["step"]
+        cut = step
     return 1
 
 
+def frequent(counts: DataFrame, count: str = "n", entries: int = TABLE_ENTRIES) -> int:
+    """The least count that at most ``entries`` rows reach.
+
+    Rows below it are not lost: the caller handles them without a table in memory.
+    """
+    return least_count(histogram(counts, count), entries)
+
+
 def table(df: DataFrame, entries: int = TABLE_ENTRIES) -> dict[str, np.ndarray]:
     """Columns of a frame of at most ``entries`` rows, ordered by the first."""
     arrow = df.limit(entries + 1).toArrow()
@@ -77,4 +86,4 @@ def shared(spark: SparkSession, value):
     return spark.sparkContext.broadcast(value)
 
 
-__all__ = ["TABLE_ENTRIES", "batch", "frequent", "fresh", "map_blocks", "materialize", "shared", "table", "texts"]
+__all__ = ["TABLE_ENTRIES", "batch", "frequent", "fresh", "histogram", "least_count", "map_blocks", "materialize", "shared", "table", "texts"]
