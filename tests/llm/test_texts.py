@@ -148,6 +148,20 @@ def test_bands_reject_noise_and_keep_prose(spark, sf):
     assert judged > 0.99
 
 
+def test_copies_of_one_text_change_no_verdict(spark, sf):
+    """One text that holds a third of all rows, and most of its language, moves neither model nor band."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    before = {r["doc_id"]: (r["kept"], r["log_perplexity"]) for r in perplexity.quality(docs).collect()}
+    one = next(r for r in sorted(docs.filter("lang = 'de'").collect()) if before[r["doc_id"]][0])
+    copies = spark.range(1, docs.count() // 2 + 1).select((-F.col("id")).alias("doc_id"), F.lit(one["lang"]).alias("lang"),
+                                                         F.lit(one["text"]).alias("text"))
+    after = perplexity.quality(docs.unionByName(copies)).collect()
+    assert {r["kept"] for r in after if r["doc_id"] < 0} == {True}
+    for r in after:
+        kept, log_perplexity = before[r["doc_id"] if r["doc_id"] >= 0 else one["doc_id"]]
+        assert r["kept"] == kept and r["log_perplexity"] == pytest.approx(log_perplexity)
+
+
 def test_classifier(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     out = gam.score(docs, labels).cache()
