@@ -148,6 +148,24 @@ def test_bands_reject_noise_and_keep_prose(spark, sf):
     assert judged > 0.99
 
 
+def test_bands_are_outer_fences_on_both_sides(spark):
+    random.seed(6)
+    rows = [("a", random.gauss(1.5, 0.02)) for _ in range(3001)] + [("b", 2.0), ("c", 1.0), ("c", 3.0)]
+    got = {r["lang"]: (r["low"], r["high"]) for r in
+           perplexity.bands(spark.createDataFrame(rows, "lang string, log_perplexity double")).collect()}
+    q1, q3 = np.quantile([x for lang, x in rows if lang == "a"], [0.25, 0.75])
+    assert got["a"] == pytest.approx((q1 - 3 * (q3 - q1), q3 + 3 * (q3 - q1)), abs=0.008)
+    assert got["a"][0] > 1.5 - 6 * 0.02 and got["a"][1] < 1.5 + 6 * 0.02
+    assert got["b"] == pytest.approx((1.997, 2.003)) and got["c"][0] < 1 and got["c"][1] > 3
+
+
+def test_bands_reject_repetition_that_base_rules_pass(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    repeated = [(-a, "en", " ".join(f"page {n}" for n in range(a, a + 150))) for a in (100, 300, 500)]
+    out = perplexity.quality(docs.unionByName(spark.createDataFrame(repeated, docs.schema))).filter("doc_id < 0").collect()
+    assert len(out) == 3 and not any(r["base_failed"] or r["kept"] for r in out)
+
+
 def test_copies_of_one_text_change_no_verdict(spark, sf):
     """One text that holds a third of all rows, and most of its language, moves neither model nor band."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
