@@ -8,8 +8,8 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import (codec, collocations, decontaminate, gam, jaccard_join, line_dedup, perplexity, secrets, sharding,
-                         snapshots, token_counts)
+from corvane.llm import (alignment, codec, collocations, decontaminate, gam, jaccard_join, line_dedup, perplexity, secrets,
+                         sharding, snapshots, token_counts)
 from corvane.ship import ship
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,12 @@ def _op10(t):
     return out.select("doc_id", *perplexity.COUNTS, "base_failed", "kept", "log_perplexity")
 
 
+@_register("op11_alignment")
+def _op11(t):
+    return alignment.alignment(t("documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @_register("op13_collocations")
 def _op13(t):
     return collocations.collocations(t("documents"))
