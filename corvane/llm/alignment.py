@@ -9,6 +9,7 @@ import os
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,14 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.kernels import lists, longs, span_hashes
-from corvane.llm.pretoken import SPACE, classes, code_points, code_values
+from corvane.llm.pretoken import LETTER, SPACE, classes, code_points, code_values
 from corvane.llm.rows import batch, frequent, map_blocks, materialize, shared, table, texts
 from corvane.ship import ship
 
-#: Distinct stretches of text a worker remembers between blocks; a full memory is emptied, which costs time only.
+#: Distinct stretches of text that a worker remembers between blocks; a full memory is emptied, which costs time only.
 MEMORY = 2 ** 18
 #: Tokens of one tokenizer that a block of encoded documents holds, or one document.
-BLOCK_TOKENS = 2 ** 20
+BLOCK_TOKENS = 2 ** 18
+#: Stretches given to the libraries at once.
+STEP = 2 ** 14
 
 
 @dataclass
@@ -113,14 +116,18 @@ class Tokenizers:
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
-        #: A piece that goes on after a blank would join stretches; then texts are encoded whole.
-        self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.blank = self.b.piece_to_id("▁")
+        #: A piece that goes on after a blank, or holds a line feed, would join stretches; then texts are encoded whole.
+        self.cuts = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        joined = {y for p in pieces for x, y in zip(p, p[1:]) if classes()[ord(x)] == LETTER}
+        self.stops = np.array([ord(c) for c in ".,;:!?" if c not in joined], np.uint32)
+        self.blank, self.lead = self.b.piece_to_id("▁"), len(self.b.encode("\n"))
+        self.texts = [np.array([[f"{i}{end}" for i in range(len(x))] for end in ends], object)
+                      for x, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;"))]
         self.forget()
 
     def forget(self) -> None:
         self.slots: dict[int, int] = {}
-        self.ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
         self.ptr = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         self.counts = np.zeros((0, 2), np.int64)  # groups and links of each stretch
         self.valid = np.zeros(0, bool)
@@ -129,44 +136,65 @@ class Tokenizers:
     def learn(self, keys: list[int], stretches: list[str]) -> None:
         """Encode stretches that are new to this worker and align them side by side."""
         got_a = [x.ids for x in self.a.encode_batch(stretches, add_special_tokens=False)]
-        got_b = self.b.encode([s[1:] for s in stretches], num_threads=1)
-        valid = np.ones(len(stretches), bool)
-        for i, s in enumerate(stretches):
-            if s == " ":
-                got_b[i] = [self.blank]
-            data = s.encode()
-            if b"".join([self.a_bytes[x] for x in got_a[i]]) != data or b"".join([self.b_bytes[x] for x in got_b[i]]) != data:
-                valid[i], got_a[i], got_b[i] = False, [], []
-        sizes = [np.array([len(x) for x in got], np.int64) for got in (got_a, got_b)]
-        ids = [np.array([x for y in got for x in y], np.int64) for got in (got_a, got_b)]
+        # A line feed joins no piece, so what follows it is encoded as inside a text.
+        got_b = self.b.encode([s[1:] if s[0] == " " else "\n" + s for s in stretches], num_threads=1)
+        got_b = [got if s[0] == " " else got[self.lead:] for s, got in zip(stretches, got_b)]
+        for i in [i for i, s in enumerate(stretches) if s == " "]:
+            got_b[i] = [self.blank]
+        valid = self._valid(stretches, got_a, got_b)
+        sizes = [np.fromiter(map(len, got), np.int64, len(got)) for got in (got_a, got_b)]
+        ids = [np.fromiter(chain.from_iterable(got), np.int64, int(n.sum())) for got, n in zip((got_a, got_b), sizes)]
         a_sizes, b_sizes = self.a_sizes[ids[0]], self.b_sizes[ids[1]]
         owner = np.repeat(np.arange(len(stretches)), sizes[0])
         rows, _, _ = overlaps(a_sizes, b_sizes)
         a_group, b_group = groups(a_sizes, b_sizes)
         n = int(a_group[-1]) + 1 if len(a_group) else 0
         group_owner = owner[np.searchsorted(a_group, np.arange(n))]
-        bounds = [np.searchsorted(g, np.arange(n + 1)).tolist() for g in (a_group, b_group)]
-        words = [[str(x) for x in y.tolist()] for y in ids]
-        each = [",".join(words[0][bounds[0][g]:bounds[0][g + 1]]) + "|" + ",".join(words[1][bounds[1][g]:bounds[1][g + 1]])
-                for g in range(n)]
-        ends = np.searchsorted(group_owner, np.arange(len(stretches) + 1)).tolist()
+        # Tokens with what follows them, A before B in each group.
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        ends = [np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, bool) for g in (a_group, b_group)]
+        parts = np.concatenate([table[end.astype(int), x] for table, end, x in zip(self.texts, ends, ids)])[order].tolist()
+        at = np.append(0, np.cumsum(sizes[0] + sizes[1])).tolist()
         self.slots.update(zip(keys, range(len(self.written), len(self.written) + len(keys))))
-        self.written += [";".join(each[p:q]) for p, q in zip(ends, ends[1:])]
+        self.written += ["".join(parts[p:q]) for p, q in zip(at, at[1:])]
         for k in (0, 1):
-            self.ids[k] = np.concatenate([self.ids[k], ids[k]])
+            self.ids[k] = np.concatenate([self.ids[k], ids[k].astype(np.int32)])
             self.ptr[k] = np.concatenate([self.ptr[k], self.ptr[k][-1] + np.cumsum(sizes[k])])
         counts = [np.bincount(x, minlength=len(stretches)) for x in (group_owner, owner[rows])]
         self.counts = np.concatenate([self.counts, np.column_stack(counts)])
         self.valid = np.concatenate([self.valid, valid])
 
-    def encode(self, values: list[str]) -> dict:
-        """Ids, counts and written groups of a block of texts; stretches between blanks are encoded once each."""
-        joined, codes, offsets = code_points([" " + v for v in values])
+    def _valid(self, stretches: list[str], got_a: list[list[int]], got_b: list[list[int]]) -> np.ndarray:
+        """Whether both vocabularies give back each stretch; the tokens of others are emptied."""
+        valid = np.ones(len(stretches), bool)
+        data = [s.encode() for s in stretches]
+        for got, table in ((got_a, self.a_bytes), (got_b, self.b_bytes)):
+            for i, (ids, want) in enumerate(zip(got, data)):
+                if b"".join([table[x] for x in ids]) != want:
+                    valid[i] = False
+        for i in np.flatnonzero(~valid).tolist():
+            got_a[i], got_b[i] = [], []
+        return valid
+
+    def cut(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Starts of stretches that both vocabularies encode alike in their text and alone.
+
+        Before a blank or line feed after a visible character; after a single line feed before a
+        visible character; and between a letter and a stop that no piece of B has behind a letter.
+        """
         start = np.zeros(len(codes), bool)
-        if self.cuts:
-            start[1:] = (codes[1:] == 0x20) & ~may_be_space()[codes[:-1]]
+        if self.cuts and len(codes) > 1:
+            space, feed = may_be_space()[codes], codes == 0x0A
+            start[1:] = ((codes[1:] == 0x20) | feed[1:]) & ~space[:-1]
+            start[2:] |= feed[1:-1] & ~space[:-2] & ~space[2:]
+            start[1:] |= np.isin(codes[1:], self.stops) & (classes()[codes[:-1]] == LETTER)
         start[offsets[:-1]] = True
-        starts = np.flatnonzero(start)
+        return np.flatnonzero(start)
+
+    def encode(self, values: list[str]) -> dict:
+        """Ids, counts and written groups of a block of texts; stretches between blanks and stops are encoded once each."""
+        joined, codes, offsets = code_points([" " + v for v in values])
+        starts = self.cut(codes, offsets)
         ends = np.append(starts[1:], len(codes)).astype(np.int64)
         hashes = span_hashes(code_values()[codes], starts, ends)
         keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
@@ -174,8 +202,9 @@ class Tokenizers:
             self.forget()
         names = keys.tolist()
         new = [i for i, k in enumerate(names) if k not in self.slots]
-        if new:
-            self.learn([names[i] for i in new], [joined[starts[first[i]]:ends[first[i]]] for i in new])
+        for low in range(0, len(new), STEP):
+            part = new[low:low + STEP]
+            self.learn([names[i] for i in part], [joined[starts[first[i]]:ends[first[i]]] for i in part])
         slot = np.array([self.slots[k] for k in names], np.int64)[which]
         owner = np.searchsorted(offsets, starts, side="right") - 1
         bounds = np.searchsorted(owner, np.arange(len(values) + 1))
@@ -186,13 +215,13 @@ class Tokenizers:
         out = {"usable": usable}
         for name, ptr, ids in (("a", self.ptr[0], self.ids[0]), ("b", self.ptr[1], self.ids[1])):
             sizes = ptr[slot + 1] - ptr[slot]
-            out[name] = ids[ragged(ptr[slot], sizes)].astype(np.int32)
+            out[name] = ids[ragged(ptr[slot], sizes)]
             out["n_" + name] = np.bincount(owner, weights=sizes, minlength=len(values)).astype(np.int64)
         for k, name in enumerate(("n_groups", "n_links")):
             out[name] = np.bincount(owner, weights=self.counts[slot, k], minlength=len(values)).astype(np.int64)
         bounds = np.searchsorted(owner, np.arange(len(values) + 1)).tolist()
         slot = slot.tolist()
-        out["groups"] = [";".join([self.written[s] for s in slot[p:q]]) for p, q in zip(bounds, bounds[1:])]
+        out["groups"] = ["".join([self.written[s] for s in slot[p:q]])[:-1] for p, q in zip(bounds, bounds[1:])]
         return out
 
 
@@ -332,9 +361,7 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
             hit = known["pair"][place] == keys if len(known["pair"]) else np.zeros(len(keys), bool)
             count, best = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
             count[hit], best[hit] = known["n"][place[hit]], known["best"][place[hit]]
-            sums = [np.zeros(block.num_rows, np.int64) for _ in range(2)]
-            for total, value in zip(sums, (count, best)):
-                np.add.at(total, doc, n * value[at])
+            sums = [np.bincount(doc, weights=n * value[at], minlength=block.num_rows).astype(np.int64) for value in (count, best)]
             rare = ~hit[at]
             bounds = np.searchsorted(doc[rare], np.arange(block.num_rows + 1))
             yield batch(row=block.column("row"), head_sum=pa.array(sums[0], pa.int64()), head_best=pa.array(sums[1], pa.int64()),
