@@ -25,6 +25,8 @@ from corvane.ship import ship
 MEMORY = 2 ** 18
 #: Tokens of one tokenizer that a block of encoded documents holds, or one document.
 BLOCK_TOKENS = 2 ** 18
+#: Bytes of text that are encoded together.
+BLOCK_BYTES = 2 ** 20
 #: Stretches given to the libraries at once.
 STEP = 2 ** 14
 
@@ -239,6 +241,19 @@ def may_be_space() -> np.ndarray:
     return odd | (classes() == SPACE)
 
 
+@dataclass
+class Sizes:
+    """Bytes of every entry of both vocabularies: all that the products need."""
+
+    a_sizes: np.ndarray
+    b_sizes: np.ndarray
+
+
+def sizes_of(a_path: str, b_path: str) -> Sizes:
+    both = tokenizers(a_path, b_path)
+    return Sizes(both.a_sizes, both.b_sizes)
+
+
 @functools.lru_cache(maxsize=2)
 def tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
@@ -247,22 +262,49 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def encode(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``a_ids``, ``b_ids``, the four counts and ``groups_sha256`` of every whole text; one pass, no shuffle."""
+def encode(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", packed: bool = False) -> DataFrame:
+    """``doc_id``, ``a_ids``, ``b_ids``, the four counts and ``groups_sha256`` of every whole text; one pass, no shuffle.
+
+    ``packed`` gives ids as the bytes of little-endian 16-bit numbers (32-bit ones for larger vocabularies).
+    """
     def kernel(block: pa.RecordBatch) -> pa.RecordBatch:
-        got = tokenizers(a_path, b_path).encode(block.column("text").fill_null("").to_pylist())
+        known = tokenizers(a_path, b_path)
+        got = known.encode(block.column("text").fill_null("").to_pylist())
         sha = [hashlib.sha256(g.encode()).hexdigest() if n else "" for g, n in zip(got["groups"], got["n_a"].tolist())]
-        ids = {f"{x}_ids": lists(pa.array(got[x], pa.int32()), np.append(0, np.cumsum(got[f"n_{x}"]))) for x in "ab"}
+        ends = {x: np.append(0, np.cumsum(got[f"n_{x}"])) for x in "ab"}
+        if packed:
+            kinds = {x: _packed_kind(sizes) for x, sizes in zip("ab", (known.a_sizes, known.b_sizes))}
+            ids = {f"{x}_ids": _packed(got[x].astype(kinds[x]), ends[x]) for x in "ab"}
+        else:
+            ids = {f"{x}_ids": lists(pa.array(got[x], pa.int32()), ends[x]) for x in "ab"}
         return batch(doc_id=block.column("doc_id"), **ids, **{c: pa.array(got[c], pa.int64()) for c in _COUNTS},
                      groups_sha256=pa.array(sha, pa.string()))
 
     source = texts(docs, key, text)
     kind = source.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{c} bigint" for c in _COUNTS)
-    return map_blocks(source, kernel, f"doc_id {kind}, a_ids array<int>, b_ids array<int>, {counts}, groups_sha256 string")
+    ids = "binary" if packed else "array<int>"
+    return map_blocks(source, kernel, f"doc_id {kind}, a_ids {ids}, b_ids {ids}, {counts}, groups_sha256 string",
+                      max_bytes=BLOCK_BYTES)
 
 
-def _encoded_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, list]]:
+def _packed_kind(sizes: np.ndarray) -> str:
+    return "<u2" if len(sizes) <= 2 ** 16 else "<u4"
+
+
+def _packed(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = pa.py_buffer((ends * ids.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(ids)])
+
+
+def _ids(column: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """Flat ids of a column that :func:`encode` made, packed or not."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.frombuffer(b"".join(column.to_pylist()), _packed_kind(sizes)).astype(np.int64)
+
+
+def _encoded_blocks(batches: Iterator[pa.RecordBatch], both: Sizes) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, list]]:
     """(rows, flat A ids, flat B ids, bounds of each) of bounded blocks of encoded documents."""
     for whole in batches:
         sizes = np.cumsum(whole.column("n_a").to_numpy())
@@ -271,7 +313,7 @@ def _encoded_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Reco
             before = sizes[at - 1] if at else 0
             end = max(int(np.searchsorted(sizes, before + BLOCK_TOKENS, side="right")), at + 1)
             block = whole.slice(at, end - at)
-            ids = [block.column(f"{x}_ids").flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in "ab"]
+            ids = [_ids(block.column(f"{x}_ids"), n) for x, n in zip("ab", (both.a_sizes, both.b_sizes))]
             bounds = [np.append(0, np.cumsum(block.column(f"n_{x}").to_numpy())) for x in "ab"]
             yield block, *ids, bounds
             at = end
@@ -285,9 +327,10 @@ def links(encoded: DataFrame, a_path: str, b_path: str, kind: str = "overlap") -
     """
     ship(encoded.sparkSession)
 
+    both = sizes_of(a_path, b_path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizers(a_path, b_path)
-        for block, a, b, (a_off, b_off) in _encoded_blocks(batches):
+        for block, a, b, (a_off, b_off) in _encoded_blocks(batches, both):
             a_sizes, b_sizes = both.a_sizes[a], both.b_sizes[b]
             if kind == "overlap":
                 i, j, common = overlaps(a_sizes, b_sizes)
@@ -306,7 +349,7 @@ def links(encoded: DataFrame, a_path: str, b_path: str, kind: str = "overlap") -
     return encoded.mapInArrow(run, f"doc_id {id_kind}, a_at array<int>, b_at array<int>{extra}")
 
 
-def _document_pairs(both: Tokenizers, a: np.ndarray, b: np.ndarray, a_off: np.ndarray):
+def _document_pairs(both: Sizes, a: np.ndarray, b: np.ndarray, a_off: np.ndarray):
     """(A id << 32 | B id, number of the key's links, document) of the distinct linked id pairs of each document."""
     i, j, _ = overlaps(both.a_sizes[a], both.b_sizes[b])
     doc = np.searchsorted(a_off, i, side="right") - 1
@@ -318,9 +361,11 @@ def _document_pairs(both: Tokenizers, a: np.ndarray, b: np.ndarray, a_off: np.nd
 
 def pair_counts(encoded: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """``pair`` (A id << 32 | B id), ``n``: how many documents hold the pair linked."""
+    both = sizes_of(a_path, b_path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizers(a_path, b_path)
-        for _, a, b, (a_off, _) in _encoded_blocks(batches):
+        tokenizers.cache_clear()  # what the worker remembers of the texts is of no more use
+        for _, a, b, (a_off, _) in _encoded_blocks(batches, both):
             keys, at, _, _ = _document_pairs(both, a, b, a_off)
             yield batch(pair=pa.array(keys, pa.int64()), n=pa.array(np.bincount(at, minlength=len(keys)), pa.int64()))
 
@@ -343,7 +388,8 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
     no tokens, zeros, an empty digest. Very long texts: whole. Repeated rows: each counts as a document. Null ids: kept.
     Other columns are not read. Empty table: empty result.
     """
-    rows = encode(docs, a_path, b_path, key, text).withColumn("row", F.monotonically_increasing_id())
+    both = sizes_of(a_path, b_path)
+    rows = encode(docs, a_path, b_path, key, text, packed=True).withColumn("row", F.monotonically_increasing_id())
     rows = materialize(rows, "encoded")
     counted = materialize(pair_counts(rows, a_path, b_path), "pairs")
     a_id = F.shiftright("pair", 32)
@@ -354,8 +400,8 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
     head = shared(rows.sparkSession, table(pairs.filter(F.col("n") >= cut)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, known = tokenizers(a_path, b_path), head.value
-        for block, a, b, (a_off, _) in _encoded_blocks(batches):
+        known = head.value
+        for block, a, b, (a_off, _) in _encoded_blocks(batches, both):
             keys, at, n, doc = _document_pairs(both, a, b, a_off)
             place = np.minimum(np.searchsorted(known["pair"], keys), max(len(known["pair"]) - 1, 0))
             hit = known["pair"][place] == keys if len(known["pair"]) else np.zeros(len(keys), bool)

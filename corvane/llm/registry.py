@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm import (alignment, codec, collocations, decontaminate, gam, jaccard_join, line_dedup, perplexity, secrets,
-                         sharding, snapshots, token_counts)
+                         sharding, snapshots, token_counts, toxicity)
 from corvane.ship import ship
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,11 @@ def _op11(t):
                                public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@_register("op12_toxicity")
+def _op12(t):
+    return toxicity.score(t("documents"), t("labels"))
+
+
 @_register("op13_collocations")
 def _op13(t):
     return collocations.collocations(t("documents"))
