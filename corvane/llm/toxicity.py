@@ -261,6 +261,8 @@ def _first_examples(sample: DataFrame) -> tuple[dict[str, float], dict[str, floa
     found = map_blocks(sample.select("text", "y"), kernel, "word string, y double")
     counts = materialize(found.groupBy("word").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")), "examples")
     size = sample.agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).first()
+    if not size["t"] or not size["c"]:
+        return {}, {}
     odds = F.log((F.col("t") + 0.5) / (size["t"] + 1)) - F.log((F.col("c") + 0.5) / (size["c"] + 1))
     marked = counts.withColumn("g", (F.col("t") + F.col("c")) * odds)
     top = marked.filter("g > 0 and t >= 2 and t > 4 * c").orderBy(F.desc("g"), "word").limit(CANDIDATES).collect()
