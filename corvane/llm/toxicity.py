@@ -17,7 +17,7 @@ from corvane.llm.rows import batch, map_blocks, materialize, texts
 
 #: Labelled documents of each class that the machine is fitted on, the first by a hash of their id.
 FIT_ROWS = 4096
-LANDMARKS, ROUNDS, CANDIDATES = 512, 4, 1024
+LANDMARKS, ROUNDS, CANDIDATES = 384, 3, 1024
 #: Weight of a subsequence falls by this factor for each skipped character; at most ``SKIPS`` are skipped.
 DECAY, SKIPS = 0.5, 2
 #: Longest word that may become an example or a landmark.
@@ -127,8 +127,10 @@ class Landmarks:
             part = w.take(np.arange(low, min(low + step, n)))
             for owner, hashes, weight in subsequences(part):
                 at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-                hit = self.hashes[at] == hashes
-                np.add.at(out, low + owner[hit], weight * self.table[at[hit]])
+                hit = np.flatnonzero(self.hashes[at] == hashes)
+                if len(hit):  # owners ascend, so each word's rows are summed as one run
+                    runs = np.flatnonzero(np.append(True, np.diff(owner[hit])))
+                    out[low + owner[hit[runs]]] += weight * np.add.reduceat(self.table[at[hit]], runs)
         return out / norms(w)[:, None]
 
     def features(self, w: Words) -> np.ndarray:
@@ -252,8 +254,8 @@ def _first_examples(sample: DataFrame) -> tuple[dict[str, float], dict[str, floa
     """Words that speak most for either class, by the likelihood ratio of the documents that hold them."""
     def kernel(block: pa.RecordBatch) -> pa.RecordBatch:
         w = words(block.column("text").fill_null("").to_pylist())
-        pairs = np.unique(np.column_stack([w.owner, np.unique(w.hashes, return_inverse=True)[1]]), axis=0, return_index=True)[1] \
-            if len(w.owner) else np.zeros(0, np.int64)
+        keys, which = np.unique(w.hashes, return_inverse=True)
+        pairs = np.unique(w.owner * max(len(keys), 1) + which, return_index=True)[1]
         pairs = pairs[w.ptr[pairs + 1] - w.ptr[pairs] <= EXAMPLE_CHARS + 2]
         y = block.column("y").to_numpy()[w.owner[pairs]]
         return batch(word=pa.array([w.written(i) for i in pairs.tolist()], pa.string()), y=pa.array(y, pa.float64()))
@@ -287,7 +289,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.filter(F.col("y") == y).orderBy(*order).limit(rows) for y in (0.0, 1.0)]
     chosen = materialize(chosen[0].unionByName(chosen[1]), "chosen")
-    sample = materialize(docs.join(F.broadcast(chosen), "doc_id").select("text", "y").dropna().dropDuplicates(["text"]), "sample")
+    sample = docs.join(F.broadcast(chosen), "doc_id").select("text", "y").dropna().dropDuplicates(["text"])
+    sample = materialize(sample.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism), "sample")
     positive, negative = _first_examples(sample)
     if not positive or not negative:
         return constant
