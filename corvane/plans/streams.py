@@ -9,12 +9,14 @@ from corvane.plans.sequences import RUNNING, TRANSITIONS
 from corvane.scale import scratch_path
 from corvane.streaming import state as ss
 
+#: Bytes of files in a micro-batch. State puts a key's rows in order, so the limit chooses no result.
+BATCH_BYTES = "1g"
+
 
 def _stream(t, name):
-    """The files of the table, one or many, as a stream. All that is there forms one micro-batch, because
-    state follows the order of a key's rows inside a batch only: any limit would let file order decide."""
+    """The files of the table, one or many, as a stream of bounded micro-batches."""
     either = f"{t.sf_dir.rstrip('/')}/{{{name}}}.parquet"  # a pattern may name a file or a folder; a plain path must be a folder
-    return t.spark.readStream.schema(t(name).schema).parquet(either)
+    return t.spark.readStream.schema(t(name).schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(either)
 
 
 @query("st1_running_state", RUNNING)
