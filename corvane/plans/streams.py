@@ -10,7 +10,7 @@ from corvane.scale import scratch_path
 from corvane.streaming import state as ss
 
 #: Bytes of files in a micro-batch. State puts a key's rows in order, so the limit chooses no result.
-BATCH_BYTES = "1g"
+BATCH_BYTES = 2 ** 30
 
 
 def _stream(t, name):

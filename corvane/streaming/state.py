@@ -234,7 +234,7 @@ class _QUpdate(StatefulProcessor):
         pass
 
 
-def stream_q_update(steps: DataFrame, gamma: float, delay: str = WHOLE_TABLE, slice_days: int = 7) -> Closable:
+def stream_q_update(steps: DataFrame, gamma: float, delay: str = WHOLE_TABLE, slice_days: int = 30) -> Closable:
     """Weight after each transition of (user_id, ts, event_id, s, a, r), one weight table per user.
 
     Rows wait in state by slices of ``slice_days`` until the watermark, ``delay`` behind the latest time
