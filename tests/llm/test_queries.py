@@ -15,7 +15,7 @@ from corvane.llm import registry  # noqa: E402
 def test_all_are_registered():
     names = set(entry_module.queries())
     assert set(registry.queries()) <= names and set(registry.oracle_sql()) <= set(entry_module.oracle_sql())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in registry.queries() if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
