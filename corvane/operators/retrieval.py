@@ -9,70 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.scale import limit, materialize
-
-# Largest query matrix sent to every task, largest corpus block of the grid, and largest
-# score matrix held at once, in values.
-QUERY_VALUES = 4_000_000
-BLOCK_VALUES = 16_000_000
-SCORE_VALUES = 8_000_000
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.vstack(vectors.to_numpy()).astype(np.float64)
-
-
-def _scores(queries: np.ndarray, corpus: np.ndarray, metric: str) -> np.ndarray:
-    """Larger is nearer."""
-    if metric == "cosine":
-        qn = np.linalg.norm(queries, axis=1, keepdims=True)
-        cn = np.linalg.norm(corpus, axis=1)
-        dots = queries @ corpus.T
-        norms = qn * cn
-        return np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
-    out = np.empty((len(queries), len(corpus)))
-    for i, q in enumerate(queries):
-        diff = q - corpus
-        out[i] = -np.einsum("ij,ij->i", diff, diff)
-    return out
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k largest scores, ties by id."""
-    if len(scores) > k:
-        edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        kept = np.flatnonzero(scores >= edge)
-    else:
-        kept = np.arange(len(scores))
-    return kept[np.lexsort((ids[kept], -scores[kept]))][:k]
-
-
-def _search(batches: Iterator[pd.DataFrame], qids: np.ndarray, queries: np.ndarray, k: int,
-            metric: str) -> pd.DataFrame:
-    """The k nearest rows per query over all batches of one task."""
-    best = [(np.empty(0), np.empty(0, dtype=object))] * len(qids)
-    edge = np.full(len(qids), -np.inf)          # k-th best score so far
-    for pdf in batches:
-        pdf = pdf[pdf["__v"].notna()]
-        if pdf.empty:
-            continue
-        ids, vectors = pdf["__id"].to_numpy(), _matrix(pdf["__v"])
-        step = max(1, SCORE_VALUES // len(ids))
-        for first in range(0, len(qids), step):
-            scores = _scores(queries[first:first + step], vectors, metric)
-            better = np.flatnonzero(scores.max(axis=1) >= edge[first:first + step])
-            for j in better:
-                i = first + j
-                held = np.concatenate([best[i][0], scores[j]])
-                held_ids = np.concatenate([best[i][1], ids])
-                top = _best(held, held_ids, k)
-                best[i] = (held[top], held_ids[top])
-                if len(top) == k:
-                    edge[i] = held[top[-1]]
-    return pd.DataFrame({
-        "__q": np.repeat(qids, [len(b[0]) for b in best]),
-        "__id": np.concatenate([b[1] for b in best]) if best else [],
-        "__s": np.concatenate([b[0] for b in best]) if best else []})
+from corvane.operators.nearest import Best, matrix
+from corvane.operators.vector_index import QUERY_VALUES, VectorIndex
+from corvane.scale import limit, lookup_join, materialize
 
 
 def top_k(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine",
@@ -82,48 +21,49 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cos
 
     ``cosine`` scores are similarities, ``l2`` scores squared distances. Each task
     scans its corpus rows once against the query matrix and emits k rows per query,
-    so no pair is materialised. A query set above ``query_values`` numbers is cut
-    into blocks that meet corpus blocks on a grid; both ways are exact.
+    so no pair is materialised and the corpus is not shuffled. For a query set above
+    ``query_values`` numbers the corpus is written once as a :class:`VectorIndex`
+    (cells fitted on ``block_values`` numbers), which blocks of queries then search in
+    place. Both ways are exact. To search a corpus again, build the index and keep it.
     """
     query_values = limit(corpus.sparkSession, "queryValues", QUERY_VALUES, query_values)
-    block_values = limit(corpus.sparkSession, "blockValues", BLOCK_VALUES, block_values)
-    types = {**{f"q:{f.name}": f.dataType.simpleString() for f in queries.schema},
-             **{f"c:{f.name}": f.dataType.simpleString() for f in corpus.schema}}
-    schema = f"__q {types['q:' + qid]}, __id {types['c:' + cid]}, __s double"
+    schema = f"__q {queries.schema[qid].dataType.simpleString()}, __id {corpus.schema[cid].dataType.simpleString()}, __s double"
     q = queries.select(F.col(qid).alias("__q"), F.col(vector).alias("__v")).filter("__v is not null")
-    c = corpus.select(F.col(cid).alias("__id"), F.col(vector).alias("__v"))
     q = materialize(q, "queries")
     shape = q.agg(F.count("*").alias("n"), F.max(F.size("__v")).alias("d")).first()
     dim = shape["d"] or 1
-    if shape["n"] * dim <= query_values:
-        held = q.toPandas()
-        qids = held["__q"].to_numpy()
-        matrix = _matrix(held["__v"]) if len(held) else np.empty((0, dim))
-        shared = queries.sparkSession.sparkContext.broadcast((qids, matrix))
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, mat = shared.value
-            yield _search(batches, ids, mat, k, metric)
-
-        near = c.mapInPandas(scan, schema)
-    else:
-        blocks = -(-shape["n"] * dim // query_values)
-        shards = max(1, -(-corpus.count() * dim // block_values))
-        q = q.withColumn("__b", F.pmod(F.xxhash64("__q"), F.lit(blocks)).cast("int")).withColumn(
-            "__sh", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        c = c.withColumn("__sh", F.pmod(F.xxhash64("__id"), F.lit(shards)).cast("int")).withColumn(
-            "__b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-        def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if left.empty or right.empty:
-                return pd.DataFrame({"__q": [], "__id": [], "__s": []})
-            return _search(iter([right]), left["__q"].to_numpy(), _matrix(left["__v"]), k, metric)
-
-        near = q.groupBy("__b", "__sh").cogroup(c.groupBy("__b", "__sh")).applyInPandas(cell, schema)
+    if shape["n"] * dim > query_values:
+        index = VectorIndex.build(corpus, metric, cid, vector, sample_values=block_values)
+        return _named(index.search(q, k, "__q", "__v", query_values), metric, qid, cid)
+    held = q.toPandas()
+    qids = held["__q"].to_numpy()
+    mat = matrix(held["__v"]) if len(held) else np.empty((0, dim))
+    shared = queries.sparkSession.sparkContext.broadcast((qids, mat))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, mat = shared.value
+        best = Best(ids, k)
+        for pdf in batches:
+            pdf = pdf[pdf["__v"].notna()]
+            if len(pdf) and len(ids):
+                best.offer(np.arange(len(ids)), mat, pdf["__id"].to_numpy(), matrix(pdf["__v"]), metric)
+        yield best.frame()
+
+    near = corpus.select(F.col(cid).alias("__id"), F.col(vector).alias("__v")).mapInPandas(scan, schema)
     w = Window.partitionBy("__q").orderBy(F.desc("__s"), "__id")
+    ranked = near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return _named(ranked, metric, qid, cid)
+
+
+def _named(hits: DataFrame, metric: str, qid: str, cid: str) -> DataFrame:
     score = F.col("__s") if metric == "cosine" else 0.0 - F.col("__s")
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
-        F.col("__q").alias(qid), F.col("__id").alias(cid), score.alias("score"), "rank")
+    return hits.select(F.col("__q").alias(qid), F.col("__id").alias(cid), score.alias("score"), "rank")
+
+
+def search(index: VectorIndex, queries: DataFrame, k: int = 10, qid: str = "qid", cid: str = "id",
+           vector: str = "vector") -> DataFrame:
+    """:func:`top_k` against a stored index; columns and values are the same."""
+    return _named(index.search(queries, k, qid, vector), index.metric, qid, cid)
 
 
 def knn(probes: DataFrame, points: DataFrame, k: int = 3, x: str = "x", y: str = "y",
@@ -147,8 +87,14 @@ def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 def attach_context(hits: DataFrame, docs: DataFrame, cid: str = "id", qid: str = "qid",
                    text: str = "text", sep: str = "\n\n") -> DataFrame:
-    """Texts of the hits of each question, joined in rank order; a group has k rows."""
-    found = hits.join(docs.select(cid, text), cid)
+    """Texts of the hits of each question, joined in rank order; a group has k rows.
+
+    The hits go to the texts: their ids are broadcast while they fit, so the texts stay in
+    place, and only the texts found meet the hits again.
+    """
+    hits = materialize(hits, "hits")
+    texts = lookup_join(docs.select(cid, text), hits.select(cid).distinct(), [cid], "left_semi")
+    found = hits.join(texts, cid)
     items = F.array_sort(F.collect_list(F.struct("rank", text)))
     return found.groupBy(qid).agg(F.count("*").alias("n_hits"),
                                   F.array_join(F.transform(items, lambda x: x[text]), sep).alias("context"))

@@ -10,6 +10,7 @@ from corvane.operators import retrieval as rt
 from corvane.operators import rows as rw
 from corvane.operators import stats as st
 from corvane.operators import templates as tp
+from corvane.operators.vector_index import VectorIndex
 from corvane.plans import query
 from corvane.plans.rows import BOARD, board, sql_map
 from corvane.scale import lookup_join, materialize
@@ -126,6 +127,31 @@ def j5_l2(t):
     return _hits(t, "l2").withColumn("score", F.round("score", 6))
 
 
+_INDEX_SQL = """
+    WITH probes AS (SELECT vec_id AS qid, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 100 = 0),
+    scored AS (SELECT qid, vec_id AS id, {score} AS score FROM embeddings, probes)
+    SELECT qid, id, round(score, 6) AS score, row_number() OVER (PARTITION BY qid ORDER BY {order}, id)::INT AS rank
+    FROM scored QUALIFY rank <= 10"""
+
+
+def _index_hits(t, metric):
+    """Every row whose id is divisible by 100 against an index of all rows."""
+    corpus = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    index = VectorIndex.build(corpus, metric)
+    return rt.search(index, corpus.filter("id % 100 = 0").withColumnRenamed("id", "qid"), 10)
+
+
+@query("j5_index_cosine", _INDEX_SQL.format(score="list_cosine_similarity(embedding::DOUBLE[], q)", order="score DESC"))
+def j5_index(t):
+    return _index_hits(t, "cosine").withColumn("score", F.round("score", 6))
+
+
+@query("j5_index_l2", _INDEX_SQL.format(
+    score="list_sum(list_transform(list_zip(embedding::DOUBLE[], q), lambda p: (p[1]-p[2])*(p[1]-p[2])))", order="score"))
+def j5_index_l2(t):
+    return _index_hits(t, "l2").withColumn("score", F.round("score", 6))
+
+
 _CONTEXT = f"""WITH {_HITS} SELECT qid, count(*) AS n_hits, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context
     FROM hits JOIN documents ON id = doc_id GROUP BY qid"""
 
