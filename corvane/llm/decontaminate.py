@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm.kernels import WHITE, flat, mix
-from corvane.llm.rows import batch, fresh, map_blocks, shared, texts
+from corvane.llm.rows import batch, fresh, map_blocks, materialize, shared, texts
 
-#: Edits allowed per byte of an item, and the shortest item that is looked for, in bytes.
+#: Edits allowed per byte of an item; items of fewer bytes than the second are found only unchanged, as whole words.
 ERROR_RATE, LEAST_BYTES = 0.05, 20
 #: Bytes of items that one pass over the documents looks for; more items take more passes.
 PASS_BYTES = 8 * 2 ** 20
@@ -71,9 +73,10 @@ def myers(pattern: bytes, text: bytes, most: int) -> tuple[int, int]:
 class Matcher:
     """Pieces of the items: an item with an error budget of k is cut into k + 1, one of which survives k edits."""
 
-    def __init__(self, items: list[tuple[int, bytes]], rate: float = ERROR_RATE):
+    def __init__(self, items: list[tuple[int | None, bytes]], rate: float = ERROR_RATE, least: int = LEAST_BYTES):
         self.items = items
-        self.budget = [int(len(text) * rate) for _, text in items]
+        self.budget = [int(len(text) * rate) if len(text) >= least else 0 for _, text in items]
+        self.whole = [len(text) < least for _, text in items]
         places: dict[bytes, list[tuple[int, int, bytes]]] = defaultdict(list)
         self.short: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for n, (_, text) in enumerate(items):
@@ -124,6 +127,11 @@ class Matcher:
         for (row, n), starts in self._piece_hits(raw, off).items():
             text, k = self.items[n][1], self.budget[n]
             best, run = None, []
+            if self.whole[n]:
+                first = next((p for p in sorted(starts) if _stands_alone(raw, int(off[row]), int(off[row + 1]), p, text)), None)
+                if first is not None:
+                    out.append((row, self.items[n][0], 0, first + len(text) - int(off[row])))
+                continue
             for start in [*sorted(starts), None]:
                 if run and (start is None or start - run[-1] > 2 * k + 1):  # one window per cluster of hits
                     a = max(int(off[row]), run[0] - k)
@@ -136,24 +144,39 @@ class Matcher:
                     run.append(start)
             if best:
                 out.append((row, self.items[n][0], *best))
-        return sorted(out)
+        return sorted(out, key=lambda hit: (hit[0], hit[1] is None, hit[1] or 0, *hit[2:]))
 
 
-def matchers(benchmark: DataFrame, rate: float = ERROR_RATE, least: int = LEAST_BYTES) -> list[Matcher]:
-    """The distinct items in passes of bounded size, read one pass at a time.
+def _stands_alone(raw: np.ndarray, low: int, high: int, at: int, text: bytes) -> bool:
+    """Whether ``text`` is at ``at`` inside the row and no letter or digit goes on beyond either end of it."""
+    end = at + len(text)
+    if at < low or end > high or raw[at:end].tobytes() != text:
+        return False
+    before = at > low and _wordy(int(raw[at - 1])) and _wordy(text[0])
+    after = end < high and _wordy(int(raw[end])) and _wordy(text[-1])
+    return not before and not after
 
-    Null or empty items, and items under ``least`` bytes, which would be found by chance, are not looked for.
+
+def _wordy(byte: int) -> bool:
+    """Letters, digits and every byte of a character beyond ASCII."""
+    return byte >= 128 or chr(byte).isalnum()
+
+
+def matchers(benchmark: DataFrame, rate: float = ERROR_RATE, least: int = LEAST_BYTES) -> Iterator[Matcher]:
+    """The distinct items in passes of bounded size; each is read and built when it is asked for.
+
+    Null items and items without a word are not looked for. Items under ``least`` bytes are looked for
+    without edits and as whole words, as parts of other words would be found by chance.
     """
     own = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .dropna().dropDuplicates()
+        .dropna(subset=["text"]).dropDuplicates()
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = -(-size // PASS_BYTES) or 1
-    out = []
     for i in range(passes):
         part = own.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i).collect()
-        items = sorted({(r["item_id"], normal_bytes(r["text"])) for r in part})
-        out.append(Matcher([x for x in items if len(x[1]) >= least], rate))
-    return out
+        items = {(r["item_id"], normal_bytes(r["text"])) for r in part}
+        items = sorted(items, key=lambda item: (item[0] is None, item[0] or 0, item[1]))
+        yield Matcher([x for x in items if x[1]], rate, least)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key: str = "doc_id",
@@ -162,12 +185,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key:
 
     An item is found where some part of the text is at most ``rate`` times its length away, in edits of
     bytes, after folding A-Z and runs of white space on both sides; ``end_byte`` is where the best part
-    ends in the normalised text. The benchmark goes to the tasks in passes of bounded size, so each pass
-    reads the documents once and shuffles nothing. Items that occur in very many rows cost one
-    verification per row.
-
-    Null or empty texts: no rows. Repeated rows and null ids: each row reports its own items. Other
-    columns are not read. Empty tables: empty result.
+    ends in the normalised text. Items under ``LEAST_BYTES`` bytes are found unchanged between word
+    boundaries. The benchmark goes to the tasks in passes of bounded size; a pass reads the documents
+    once and shuffles nothing, and where there are several each is written before the next is built, so
+    one matcher is held at a time. Items that occur in very many rows cost one verification per row.
+
+    Null or empty texts: no rows. Very long texts: taken whole, in a block of their own. Items with a
+    text but a null id: found, reported with a null ``item_id``. Repeated rows and null ids: each row
+    reports its own items. Other columns are not read. Empty tables: empty result.
     """
     source = texts(docs, key, text)
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -180,20 +205,35 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key:
                          item_id=pa.array(items, pa.int64()), edits=pa.array(edits, pa.int32()),
                          end_byte=pa.array(ends, pa.int64()))
         return map_blocks(source, kernel, f"doc_id {kind}, item_id bigint, edits int, end_byte bigint")
-    passes = [shared(docs.sparkSession, m) for m in matchers(benchmark, rate)]
-    return reduce(DataFrame.unionByName, [one(m) for m in passes])
+    return reduce(DataFrame.unionByName, _in_turn(docs.sparkSession, benchmark, rate, one, "leaks"))
+
+
+def _in_turn(spark: SparkSession, benchmark: DataFrame, rate: float, one: Callable[[Broadcast], DataFrame],
+             name: str) -> Iterator[DataFrame]:
+    """What ``one`` makes of each pass; all but the last are written, and their matcher let go, before the next is built."""
+    held = None
+    for matcher in matchers(benchmark, rate):
+        if held is not None:
+            yield materialize(one(held), name)
+            held.unpersist()
+        held = shared(spark, matcher)
+    yield one(held)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found; all columns as they are."""
-    for matcher in [shared(docs.sparkSession, m) for m in matchers(benchmark, rate)]:
-        body = fresh(docs, "__body")
+    """The rows of ``docs`` in which no benchmark item is found; all columns as they are.
+
+    Null or empty texts stay, as do all rows where a table is empty; repeated rows share their fate.
+    """
+    body, schema, left = fresh(docs, "__body"), docs.schema, docs
 
-        def kernel(block: pa.RecordBatch, matcher=matcher, body=body) -> pa.RecordBatch:
+    def one(matcher) -> DataFrame:
+        def kernel(block: pa.RecordBatch) -> pa.RecordBatch:
             found = matcher.value.find(*normal(*flat(block.column(body))))
             keep = np.ones(block.num_rows, bool)
             keep[[row for row, *_ in found]] = False
             return block.drop_columns([body]).filter(pa.array(keep))
-        schema = docs.schema
-        docs = map_blocks(docs.withColumn(body, F.col(f"`{text}`").cast("string")), kernel, schema, body)
-    return docs
+        return map_blocks(left.withColumn(body, F.col(f"`{text}`").cast("string")), kernel, schema, body)
+    for kept in _in_turn(docs.sparkSession, benchmark, rate, one, "clean"):
+        left = kept
+    return left

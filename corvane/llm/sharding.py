@@ -63,10 +63,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, text: str = "text", parcel
     differenced. Slots count the rows of a shard from 0 in the order of the written parts.
 
     Returns the key and other columns but the text. Repeated rows and null ids: kept, one slot each.
-    Empty table: empty result. An input column of the name of a new one is replaced.
+    Very long texts: measured whole, never in a shuffle. Empty table: empty result. An input column of the name of a new one is replaced.
     """
     added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    parcel, group, row = (fresh(docs, name) for name in ("__parcel", "__group", "__row"))
+    names = ("__parcel", "__group", "__row", "__own", "__lot", "__part", "__at", "__first")
+    parcel, group, row, own_shard, lot_shard, part, at, first = (fresh(docs, name) for name in names)
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     kept = [F.col(f"`{c}`") for c in docs.columns if c != text and c not in added]
     rows = docs.select(*kept, (F.octet_length(whole) + 1).cast("bigint").alias("size"),
@@ -81,21 +82,20 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, text: str = "text", parcel
     small = groups.filter(~alone).groupBy(hashed.alias(parcel)).agg(F.sum("bytes").alias("bytes")) \
         .orderBy(parcel).collect()  # at most parcels rows
     where = differencing([r["bytes"] for r in large] + [r["bytes"] for r in small], shards)
-    own = spark.createDataFrame([(r[group], s) for r, s in zip(large, where)], f"{group} string, own int")
+    own = spark.createDataFrame([(r[group], s) for r, s in zip(large, where)], f"{group} string, {own_shard} int")
     lot = spark.createDataFrame([(r[parcel], s) for r, s in zip(small, where[len(large):])],
-                                f"{parcel} bigint, lot int")
+                                f"{parcel} bigint, {lot_shard} int")
     placed = rows.withColumn(parcel, hashed).join(F.broadcast(own), group, "left") \
-        .join(F.broadcast(lot), parcel, "left").withColumn("shard", F.coalesce("own", "lot"))
+        .join(F.broadcast(lot), parcel, "left").withColumn("shard", F.coalesce(own_shard, lot_shard))
     # Rows were written with the number of their part above bit 33, so (shard, part) is a bounded group.
-    part = F.shiftright(row, 33)
-    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy("shard", part.alias("part")).agg(F.count("*").alias("n"))
-    offsets = counts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("shard", "part").orderBy(row)
-    numbered = placed.withColumn("part", part).withColumn("at", F.row_number().over(inside) - 1)
-    out = numbered.join(offsets, ["shard", "part"])
+    placed = placed.withColumn(part, F.shiftright(row, 33))
+    before = Window.partitionBy("shard").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("shard", part).agg(F.count("*").alias(at))
+    offsets = counts.select("shard", part, F.coalesce(F.sum(at).over(before), F.lit(0)).alias(first))
+    inside = Window.partitionBy("shard", part).orderBy(row)
+    out = placed.withColumn(at, F.row_number().over(inside) - 1).join(offsets, ["shard", part])
     return out.select(*kept, "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                      (F.col("first") + F.col("at")).cast("bigint").alias("slot"),
+                      (F.col(first) + F.col(at)).cast("bigint").alias("slot"),
                       F.lit(None).cast("int").alias("grown_shard"))
 
 

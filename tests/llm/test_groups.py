@@ -67,6 +67,14 @@ def test_shards_of_odd_rows(spark):
     assert sharding.shard_by_bytes(no_docs(spark)).count() == 0
 
 
+def test_shards_keep_columns_of_any_name(spark):
+    names = ["own", "lot", "first", "part", "at", "n", "bytes", "__parcel", "__group", "__row", "__own", "__lot", "__first", "__at"]
+    docs = odd_docs(spark, clashes=False).withColumns({c: F.lit(7) for c in names})
+    got = sharding.shard_by_bytes(docs).collect()
+    check_shards([(i, t) for i, t, *_ in odd_rows()], got)
+    assert all(r[c] == 7 for r in got for c in names)
+
+
 def snapshots_by_brute_force(rows):
     talks = defaultdict(list)
     for conv, turn, role, text in rows:

@@ -233,7 +233,7 @@ def test_leaks_in_passes(spark, sf, monkeypatch):
     docs, benchmark = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     want = sorted(decontaminate.leaks(docs, benchmark).collect())
     monkeypatch.setattr(decontaminate, "PASS_BYTES", 3000)
-    assert len(decontaminate.matchers(benchmark)) > 2
+    assert len(list(decontaminate.matchers(benchmark))) > 2
     assert sorted(decontaminate.leaks(docs, benchmark).collect()) == want
     verbatim = docs.crossJoin(benchmark.select("item_id", F.col("text").alias("item"))).filter("contains(text, item)")
     assert {(r["doc_id"], r["item_id"]) for r in verbatim.collect()} <= {(r["doc_id"], r["item_id"]) for r in want}
@@ -244,14 +244,27 @@ def test_leaks_on_odd_rows(spark):
                                        (5, "x" * 40, 5)], "item_id bigint, text string, doc_id int")
     docs = odd_docs(spark)
     got = decontaminate.leaks(docs, benchmark).collect()
-    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in got) == [
+    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in got if r["item_id"] is not None) == [
         (1, 1, 0), (4, 1, 0), (5, 1, 0), (5, 1, 0), (13, 5, 0)]
+    assert sorted(r["doc_id"] for r in got if r["item_id"] is None) == [1, 4, 5, 5]  # the item without an id
     left = decontaminate.clean(docs, benchmark)
     assert left.columns == docs.columns and left.count() == len(odd_rows()) - 5
     assert decontaminate.leaks(docs, benchmark.limit(0)).count() == 0
     assert decontaminate.clean(no_docs(spark), benchmark).count() == 0
 
 
+def test_short_items_and_items_without_an_id(spark):
+    benchmark = spark.createDataFrame([(1, "the Blue  whale"), (2, "42"), (None, words(20, 3, "frei")), (3, " \t"), (None, None)],
+                                      "item_id bigint, text string")
+    texts = ["see the blue whale, now", "the blue whales swim", "bathe blue whale", "page 42.", "1421", "x42", "42",
+             "the blue whole", words(40, 0, "frei"), " ", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"], r["edits"], r["end_byte"]) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert {g[:3] for g in got} == {(0, 1, 0), (3, 2, 0), (6, 2, 0), (8, None, 0)}
+    assert (0, 1, 0, 18) in got and (3, 2, 0, 7) in got
+    assert {r["doc_id"] for r in decontaminate.clean(docs, benchmark).collect()} == {1, 2, 4, 5, 7, 9, 10}
+
+
 def test_short_pieces_are_found():
     matcher = decontaminate.Matcher([(1, b"abcdefghij klmnop qrs")], rate=0.2)
     raw, off = decontaminate.flat(pa.array(["xx abcdefgh1j kl2nop 3rs yy", "abc"]))
