@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.operators.lookup import edge_costs
-from corvane.scale import fits_broadcast, lookup_join, materialize, scratch_path
+from corvane.scale import ROWS_PER_TASK, fits_broadcast, limit, lookup_join, materialize, scratch_path
 
 MAX_ROUNDS = 1000
 
@@ -17,33 +21,75 @@ def edges(nodes: DataFrame) -> DataFrame:
     return edge_costs(nodes.select("id", "x", "y"), links)
 
 
-def reachable(edge: DataFrame, start: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+class Links:
+    """An edge table written once for many rounds of joins on ``src``.
+
+    Edges lie in files by hash of ``src``, so a round moves its frontier to them and never
+    shuffles them. The edges of a node with more than ``rows_per_task`` of them lie apart, over
+    many files, and meet a broadcast of the frontier's few such nodes.
+    """
+
+    def __init__(self, edge: DataFrame, rows_per_task: int | None = None):
+        self.spark = edge.sparkSession
+        most = limit(self.spark, "rowsPerTask", ROWS_PER_TASK, rows_per_task)
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        edge = materialize(edge, "links")
+        hot = edge.groupBy("src").agg(F.count("*").alias("__n")).filter(F.col("__n") > most).select("src")
+        self.hot_ids = materialize(hot, "hot")     # at most one per ``most`` edges
+        self.hot = materialize(edge.join(F.broadcast(self.hot_ids), "src", "left_semi"), "hot-links")
+        self.cold = by_hash(edge.join(F.broadcast(self.hot_ids), "src", "left_anti"), "src", self.buckets)
+
+    def meet(self, frontier: DataFrame, fits: bool) -> DataFrame:
+        """Edges that leave the frontier's nodes (unique ``src`` and any other columns)."""
+        few = F.broadcast(frontier.join(F.broadcast(self.hot_ids), "src", "left_semi"))
+        cold = self.cold.join(F.broadcast(frontier) if fits else frontier.hint("shuffle_hash"), "src")
+        return cold.unionByName(self.hot.join(few, "src"))
+
+
+def by_hash(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` written to the shared folder in ``buckets`` files by hash of ``key``; joins on ``key`` read it in place.
+
+    The session's catalog knows the files as a table of a name of its own.
+    """
+    name = f"corvane_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", scratch_path(df.sparkSession, "by-hash"))
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+#: Tables of seen nodes that a round reads; more are written together, in place.
+_SEEN_TABLES = 8
+
+
+def reachable(edge: DataFrame, start: DataFrame, rows_per_task: int | None = None, max_rounds: int | None = None) -> DataFrame:
     """(id, hops) of every node reached from the ids in ``start``.
 
-    Each round joins only the new frontier with the edges, drops nodes seen before and
-    writes the rest, so no round repeats or extends the plan of an earlier one.
+    Each round moves the new frontier to the stored edges, drops nodes seen before and
+    writes the rest by hash of ``id``. Neither the edges nor the nodes seen are shuffled
+    again, and rounds go on until one finds nothing, or fail after ``max_rounds`` if given.
     """
-    spark = edge.sparkSession
-    links = materialize(edge.select("src", "dst").distinct(), "links")
-    root = scratch_path(spark, "reach")
-    frontier = start.select("id").distinct().withColumn("hops", F.lit(0))
-    schema = frontier.schema
-    paths: list[str] = []
-    for hops in range(max_rounds + 1):
-        path = f"{root}/hops={hops:05d}"
-        frontier.write.parquet(path)
-        new = spark.read.schema(schema).parquet(path)
-        n, fits = fits_broadcast(new)
+    links = Links(edge.select("src", "dst").filter("src is not null and dst is not null").distinct(), rows_per_task)
+    frontier = by_hash(start.select("id").filter("id is not null").distinct().withColumn("hops", F.lit(0)), "id", links.buckets)
+    seen = [frontier]
+    for hops in count(1):
+        n, fits = fits_broadcast(frontier)
         if n == 0:
-            break
-        paths.append(path)
-        seen = spark.read.schema(schema).parquet(*paths)
-        ids = new.select(F.col("id").alias("src"))
-        step = lookup_join(links, ids, ["src"], "left_semi", fits=fits).select(F.col("dst").alias("id")).distinct()
-        frontier = step.join(seen.select("id"), "id", "left_anti").withColumn("hops", F.lit(hops + 1))
-    else:
-        raise RuntimeError(f"not finished after {max_rounds} rounds")
-    return spark.read.schema(schema).parquet(*paths)
+            return reduce(DataFrame.unionByName, seen)
+        if max_rounds is not None and hops > max_rounds:
+            raise RuntimeError(f"not finished after {max_rounds} rounds")
+        frontier = by_hash(next_level(links, frontier, seen, hops, fits), "id", links.buckets)
+        seen.append(frontier)
+        if len(seen) > _SEEN_TABLES:
+            seen = [by_hash(reduce(DataFrame.unionByName, seen), "id", links.buckets)]
+
+
+def next_level(links: Links, frontier: DataFrame, seen: list[DataFrame], hops: int, fits: bool) -> DataFrame:
+    """(id, hops) of the nodes one edge beyond the frontier that no table of ``seen`` holds."""
+    step = links.meet(frontier.select(F.col("id").alias("src")), fits).select(F.col("dst").alias("id"))
+    step = step.repartition(links.buckets, "id").distinct()
+    for known in seen:
+        step = step.join(known.select("id").hint("shuffle_hash"), "id", "left_anti")
+    return step.withColumn("hops", F.lit(hops))
 
 
 def least_costs(edge: DataFrame, start: str | int, max_rounds: int = MAX_ROUNDS) -> DataFrame:
