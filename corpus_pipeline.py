@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import codec, decontaminate, jaccard_join, line_dedup, perplexity
+from corvane.llm.rows import fresh
 from corvane.scale import materialize
 from corvane.ship import ship
 
@@ -17,8 +18,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of nearly equal lines the first stays; every document stays, ``n_chars`` follows its text."""
-    out = line_dedup.dedup(docs)
+    """Of each class of nearly equal lines the first stays; ``n_chars`` follows the text.
+
+    A document that had words and lost them all repeats others from end to end and goes;
+    documents without words, which had nothing to lose, stay as they are.
+    """
+    word = r"[^\x20\x09-\x0D]"
+    had = fresh(docs, "__had_words")
+    marked = docs.withColumn(had, F.coalesce(F.col("text").rlike(word), F.lit(False)))
+    out = line_dedup.dedup(marked)
+    out = out.filter(~F.col(had) | F.col("text").rlike(word))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", size)
