@@ -4,8 +4,9 @@ Two nodes that share a key are a candidate pair. A group of k nodes first offers
 pairs, each of its nodes with a few centers: nodes that share most keys with most others, so of many
 copies of one text those closest to the text. Verified pairs join nodes into components, and a second round
 offers the pairs of a group that lie in different components, and those only. Every candidate pair is
-thus verified or already connected, so the classes are exact, while a large group of near copies,
-most of which fall into one component, costs little more than its size.
+thus verified or already connected, so the classes are exact. A large group of near copies that fall
+into one component emits few pairs, but the second round joins the group with itself on its key, and
+members that are not linked are all offered: there the cost grows with the square of the group.
 """
 
 from __future__ import annotations
