@@ -36,13 +36,18 @@ class Links:
         edge = materialize(edge, "links")
         hot = edge.groupBy("src").agg(F.count("*").alias("__n")).filter(F.col("__n") > most).select("src")
         self.hot_ids = materialize(hot, "hot")     # at most one per ``most`` edges
-        self.hot = materialize(edge.join(F.broadcast(self.hot_ids), "src", "left_semi"), "hot-links")
-        self.cold = by_hash(edge.join(F.broadcast(self.hot_ids), "src", "left_anti"), "src", self.buckets)
+        self.any_hot = not self.hot_ids.isEmpty()
+        if self.any_hot:
+            self.hot = materialize(edge.join(F.broadcast(self.hot_ids), "src", "left_semi"), "hot-links")
+            edge = edge.join(F.broadcast(self.hot_ids), "src", "left_anti")
+        self.cold = by_hash(edge, "src", self.buckets)
 
     def meet(self, frontier: DataFrame, fits: bool) -> DataFrame:
         """Edges that leave the frontier's nodes (unique ``src`` and any other columns)."""
-        few = F.broadcast(frontier.join(F.broadcast(self.hot_ids), "src", "left_semi"))
         cold = self.cold.join(F.broadcast(frontier) if fits else frontier.hint("shuffle_hash"), "src")
+        if not self.any_hot:
+            return cold
+        few = F.broadcast(frontier.join(F.broadcast(self.hot_ids), "src", "left_semi"))
         return cold.unionByName(self.hot.join(few, "src"))
 
 
