@@ -75,6 +75,37 @@ def g3_goal(t):
     return path.select("id", F.round("cost", 6).alias("cost"), F.array_join("path", " ").alias("path"))
 
 
+def _tolls(rounds: int) -> str:
+    """Costs and edge counts together: every cost is a whole number, so one number holds both exactly."""
+    parts = ["""toll AS MATERIALIZED (SELECT 'c' || o_custkey AS c, 's' || l_suppkey AS s, min(l_quantity)::BIGINT * 100000 + 1 AS w
+                FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)""",
+             "e AS MATERIALIZED (SELECT c AS src, s AS dst, w FROM toll UNION ALL SELECT s, c, w FROM toll)",
+             "t0 AS MATERIALIZED (SELECT min(c) AS id, 0::BIGINT AS d FROM toll)"]
+    for i in range(rounds):
+        parts.append(f"t{i + 1} AS MATERIALIZED (SELECT id, min(d) AS d FROM (SELECT * FROM t{i} UNION ALL "
+                     f"SELECT dst, d + w FROM t{i} JOIN e ON src = id) GROUP BY id)")
+    return ", ".join(parts)
+
+
+@query("g3_trade_costs", f"WITH {_tolls(24)} SELECT id, (d // 100000)::DOUBLE AS cost, (d % 100000)::INT AS hops FROM t24")
+def g3_trade(t):
+    """The customer-supplier graph; an edge costs the least quantity of its order lines."""
+    orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("c"))
+    lines = t("lineitem").select("l_orderkey", F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("s"), "l_quantity")
+    toll = lookup_join(lines, orders, ["l_orderkey"], "inner").groupBy("c", "s").agg(F.min("l_quantity").alias("cost"))
+    toll = materialize(toll, "toll")
+    edge = toll.select(F.col("c").alias("src"), F.col("s").alias("dst"), "cost").unionByName(
+        toll.select(F.col("s").alias("src"), F.col("c").alias("dst"), "cost"))
+    return gr.cost_tree(edge, toll.agg(F.min("c")).first()[0]).select("id", "cost", "hops")
+
+
+@query("g4_path_rows", f"""WITH {_relaxed(6)} SELECT id, (len(p) - i)::INT AS depth, p[i]::INT AS node FROM (
+    SELECT id, string_split(path, ' ') AS p, unnest(generate_series(1, len(string_split(path, ' ')))) AS i FROM d6)""")
+def g4_rows(t):
+    tree = materialize(gr.cost_tree(lk.edge_costs(places(t), trade_links(t)), 0), "tree")
+    return gr.path_rows(tree)
+
+
 @query("g4_unroll_path", f"""WITH {_relaxed(6)} SELECT id, (len(p) - i)::INT AS depth, p[i]::INT AS node FROM (
     SELECT id, string_split(path, ' ') AS p, unnest(generate_series(1, len(string_split(path, ' ')))) AS i FROM d6)""")
 def g4(t):
