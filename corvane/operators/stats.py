@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.operators.rouge import rouge_l, rouge_n
 from corvane.scale import Ordered
 
 
@@ -46,6 +47,13 @@ def metric_means(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.agg(*[F.avg(n).alias(n) for n in names])
 
 
+def rouge_means(pairs: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Means of ROUGE-1, -2, -L and -Lsum over all pairs, in one row; scores are appended, not joined."""
+    scores = rouge_n(pairs, 1, key).unionByName(rouge_n(pairs, 2, key), allowMissingColumns=True).unionByName(
+        rouge_l(pairs, key), allowMissingColumns=True)
+    return metric_means(scores, ["rouge1", "rouge2", "rougeL", "rougeLsum"])
+
+
 def last_entry(df: DataFrame, order: Sequence[str], cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Columns of the last row by ``order``, overall or per key."""
     last = F.max_by(F.struct(*cols), F.struct(*order)).alias("__last")

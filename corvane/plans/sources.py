@@ -187,6 +187,14 @@ def s11_title(t):
     return pages.element_text(t("pages"), "title", "title").select("page_id", "title")
 
 
+@query("s11_article_text", """
+    SELECT page_id, replace(replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>', '', 'g'),
+           '&quot;', '"'), '&amp;', '&') AS text FROM pages""")
+def s11_article(t):
+    """Whole articles with all that is nested in them; the pages leave many of the tags inside open."""
+    return pages.whole_text(t("pages"), tag="article").select("page_id", "text")
+
+
 @query("s11_extract_by_id", "SELECT page_id, length(url) / 100.0::DOUBLE AS lat FROM pages")
 def s11_id(t):
     number = F.format_string("%d,%02d", F.floor(F.length("url") / 100), F.length("url") % 100)

@@ -174,21 +174,48 @@ def a11_two(t):
     return out.select("conv_id", "turn", F.round("rouge2", 6).alias("score"))
 
 
-@query("a12_rouge_l", f"""
+def _lcs_sql(rounded: bool = True) -> str:
+    score = "(CASE WHEN lcs = 0 THEN 0 ELSE 100 * 2 * (lcs/m) * (lcs/n) / (lcs/m + lcs/n) END)::DOUBLE"
+    score = f"round({score}, 6)" if rounded else score
+    return f"""
     WITH base AS (SELECT conv_id, turn, {_TOK.format('question')} AS q, {_TOK.format('answer')} AS a FROM {_PAIRS}),
     l AS (SELECT conv_id, turn, len(q) AS m, len(a) AS n, CASE WHEN len(q) = 0 OR len(a) = 0 THEN 0 ELSE
             list_last(list_reduce(q, lambda acc, x:
               list_reduce(list_transform(range(1, len(a) + 1), lambda j: [j, (a[j] = x)::INT]),
                 lambda row, jm: list_append(row, greatest(row[jm[1]], acc[jm[1] + 1], acc[jm[1]] + jm[2])), [0::BIGINT]),
               list_transform(range(0, len(a) + 1), lambda j: 0::BIGINT))) END AS lcs FROM base)
-    SELECT conv_id, turn, round(CASE WHEN lcs = 0 THEN 0 ELSE 100 * 2 * (lcs/m) * (lcs/n) / (lcs/m + lcs/n) END::DOUBLE, 6) AS score FROM l""")
+    SELECT conv_id, turn, {score} AS score FROM l"""
+
+
+@query("a12_rouge_l", _lcs_sql())
 def a12(t):
-    return rg.rouge_l(_pairs(t), ["conv_id", "turn"]).select("conv_id", "turn", F.round("rougeL", 6).alias("score"))
+    return rg.rouge_l(_pairs(t), ["conv_id", "turn"], variants=["rougeL"]).select("conv_id", "turn", F.round("rougeL", 6).alias("score"))
 
 
 @query("a12_rouge_lsum")
 def a12_sum(t):
-    return rg.rouge_l(_pairs(t), ["conv_id", "turn"]).select("conv_id", "turn", F.round("rougeLsum", 6).alias("score"))
+    return rg.rouge_l(_pairs(t), ["conv_id", "turn"], variants=["rougeLsum"]).select("conv_id", "turn", F.round("rougeLsum", 6).alias("score"))
+
+
+def _one_line(pairs):
+    """Texts with their lines joined: there the per-line score must equal that of whole texts."""
+    return pairs.withColumns({c: F.translate(c, "\n", " ") for c in ("prediction", "reference")})
+
+
+@query("a12_rouge_lsum_one_line", _lcs_sql())
+def a12_line(t):
+    out = rg.rouge_l(_one_line(_pairs(t)), ["conv_id", "turn"], variants=["rougeLsum"])
+    return out.select("conv_id", "turn", F.round("rougeLsum", 6).alias("score"))
+
+
+@query("a10_rouge_means", f"""
+    SELECT round(avg(r1.score), 6) AS rouge1, round(avg(r2.score), 6) AS rouge2, round(avg(l.score), 6) AS rougeL, round(avg(l.score), 6) AS rougeLsum
+    FROM ({_rouge_sql(1, False)}) r1 JOIN ({_rouge_sql(2, False)}) r2 ON r1.conv_id = r2.conv_id AND r1.turn = r2.turn
+    JOIN ({_lcs_sql(False)}) l ON r1.conv_id = l.conv_id AND r1.turn = l.turn""")
+def a10_four(t):
+    """All four means over texts of one line, where SQL can express the fourth."""
+    means = st.rouge_means(_one_line(_pairs(t)), ["conv_id", "turn"])
+    return means.select(*[F.round(n, 6).alias(n) for n in means.columns])
 
 
 @query("a10_metric_means", f"""

@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from html import unescape
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Elements without content, elements whose content is not markup, and elements
+# that a further one of their name ends.
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_RAW = frozenset("script style textarea title".split())
+_SIBLINGS = frozenset("dd dt li option p td th tr".split())
+
+# A comment, declaration or tag; one without an end runs to the end of the page, so every match is linear.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)
+    |<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^"'>])*+)(?:>|\Z)""", re.S | re.X)
+_ATTR = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+)))?""")
+
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>"
 _HREF = r"""(?i)<a\s[^>]*?\bhref\s*=\s*["\x27]([^"\x27]*)["\x27]"""
@@ -30,7 +46,69 @@ def element_text(pages: DataFrame, pattern: str, out: str, html: str = "html") -
     return pages.withColumn(out, F.nullif(text, F.lit("")))
 
 
+def _element_id(rest: str) -> str | None:
+    for name, *values in _ATTR.findall(rest):
+        if name.lower() == "id":
+            return unescape(next((v for v in values if v), ""))
+    return None
+
+
+def _first_text(page: str, wanted: Callable[[str, str], bool]) -> str | None:
+    """Text of the first element that ``wanted`` (name, attributes) accepts, nested elements included."""
+    open_names: list[str] = []
+    level, pieces = None, []       # how many elements are open outside the wanted one; its text so far
+    raw, at = None, 0              # name of an open element whose content is not markup; end of the last tag
+    for tag in _TAG.finditer(page):
+        name = (tag["name"] or "").lower()
+        if raw and not (tag["end"] and name == raw):
+            continue
+        if level is not None and raw not in ("script", "style"):
+            pieces.append(page[at:tag.start()])
+        at, raw = tag.end(), None
+        if not name:
+            continue
+        if tag["end"]:
+            if name in open_names:  # also ends what is still open inside it
+                while open_names.pop() != name:
+                    pass
+        else:
+            if name in _SIBLINGS and open_names and open_names[-1] == name:
+                open_names.pop()
+        if level is not None and len(open_names) <= level:
+            return unescape("".join(pieces))
+        if not tag["end"]:
+            if level is None and wanted(name, tag["rest"]):
+                if name in _VOID:
+                    return ""
+                level = len(open_names)
+            if name not in _VOID:
+                open_names.append(name)
+                raw = name if name in _RAW else None
+    if level is None:
+        return None
+    return unescape("".join(pieces) + ("" if raw in ("script", "style") else page[at:]))
+
+
+def whole_text(pages: DataFrame, out: str = "text", tag: str | None = None, element_id: str | None = None,
+               html: str = "html") -> DataFrame:
+    """Whole text of the first element with the given name and id, with all that is nested in it.
+
+    Tags are scanned once with a stack of open elements: quoting of any kind, comments, void
+    elements and tags never closed are read as such, the text of scripts and styles is left
+    out, and an element never closed ends with its parent or the page. References are decoded.
+    Null without such an element or without a page.
+    """
+    def wanted(name: str, rest: str) -> bool:
+        return (tag is None or name == tag.lower()) and (element_id is None or _element_id(rest) == element_id)
+
+    @F.pandas_udf("string")
+    def first(page: pd.Series) -> pd.Series:
+        return page.map(lambda p: None if p is None else _first_text(p, wanted))
+
+    return pages.withColumn(out, first(html))
+
+
 def extract_by_id(pages: DataFrame, element_id: str, out: str = "value", html: str = "html") -> DataFrame:
     """Number in the element with the given id; a decimal comma is read as a point."""
-    found = element_text(pages, rf'\w+\b[^>]*\bid="{element_id}"[^>]*', "__t", html)
-    return found.withColumn(out, F.replace(F.trim("__t"), F.lit(","), F.lit(".")).try_cast("double")).drop("__t")
+    found = whole_text(pages, out, element_id=element_id, html=html)
+    return found.withColumn(out, F.replace(F.trim(out), F.lit(","), F.lit(".")).try_cast("double"))

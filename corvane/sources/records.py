@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SEP = "\n[Event "  # also ends a line of "\r\n"
-_DEPTH = 8  # levels of nested variations that are taken out
 _HEADER = r'\[(\w+) "([^"]*)"\]'
 _MOVE_NUMBER = r"^[0-9]+\.+"
 # Game results, which end a move text and are not moves.
@@ -20,13 +19,26 @@ def moves(text: Column) -> Column:
     """Move tokens of the main line: no move numbers, comments (braces, or ``;`` to the end of the line),
     glyphs (``$n``), variations in parentheses and result."""
     plain = F.regexp_replace(F.regexp_replace(text, r"\{[^}]*\}", " "), r";[^\n]*", " ")
-    plain = F.regexp_replace(plain, r"\$[0-9]+", " ")
-    for _ in range(_DEPTH):
-        plain = F.regexp_replace(plain, r"\([^()]*\)", " ")
+    plain = _outside_brackets(F.regexp_replace(plain, r"\$[0-9]+", " "))
     tokens = F.transform(F.split(plain, r"\s+"), lambda t: F.regexp_replace(t, _MOVE_NUMBER, ""))
     return F.filter(tokens, lambda t: (t != "") & ~t.isin(*RESULTS))
 
 
+def _outside_brackets(text: Column) -> Column:
+    """Text outside parentheses of any depth, in one pass over the pieces between them.
+
+    A closing parenthesis without an opening one is dropped; one never closed runs to the end.
+    """
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = F.startswith(piece, F.lit("(")), F.startswith(piece, F.lit(")"))
+        depth = F.when(opens, state["depth"] + 1).when(closes, F.greatest(state["depth"] - 1, F.lit(0))).otherwise(state["depth"])
+        rest = F.regexp_replace(piece, "^[()]", " ")
+        return F.struct(depth.alias("depth"), F.when(depth == 0, F.array_append(state["kept"], rest)).otherwise(state["kept"]).alias("kept"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+    return F.aggregate(F.split(text, "(?=[()])"), start, step, lambda state: F.array_join(state["kept"], ""))
+
+
 def parse_game_records(records: DataFrame, text: str = "value", cap: int | None = None) -> DataFrame:
     """(headers, moves) per record; undecodable records and those without both players are skipped.
 

@@ -1,6 +1,7 @@
 """Golden cases and properties of row, statistic, graph and decision operators."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -145,6 +146,45 @@ def test_rouge_equal_texts_and_lines(spark):
     assert got[3]["rougeLsum"] == pytest.approx(f100(2, 3, 2))
 
 
+def test_subsequence_positions_in_little_memory():
+    rng = random.Random(2)
+    for n, m, letters in ((0, 3, "ab"), (7, 0, "ab"), (30, 41, "ab"), (60, 37, "abcd"), (90, 90, "abcdefgh")):
+        for _ in range(20):
+            a, b = ([rng.choice(letters) for _ in range(k)] for k in (n, m))
+            assert rg._lcs_positions(a, b) == lcs_walk(a, b)
+    a, b = ([str(rng.randrange(5000)) for _ in range(20000)] for _ in range(2))
+    tracemalloc.start()
+    found = rg._lcs_positions(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == rg._lcs_length(a, b) and peak < 50e6
+
+
+def lcs_walk(a, b):
+    """The walk back over a whole table."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    found, i, j = set(), len(a), len(b)
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            found.add(i)
+        elif table[i][j - 1] > table[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return found
+
+
+def test_rouge_means(spark):
+    df = spark.createDataFrame([(1, "a b c", "a b c"), (2, "a b", "b a"), (3, None, "a"), (4, "x", "y")],
+                               "id int, prediction string, reference string")
+    got = st.rouge_means(df, ["id"]).first().asDict()
+    assert got == {k: pytest.approx(v) for k, v in {"rouge1": 50, "rouge2": 25, "rougeL": 37.5, "rougeLsum": 37.5}.items()}
+
+
 def lsum_model(ref, pred):
     """Slow restatement: the longest common subsequences of all line pairs, by plain tables."""
     refs, cands = ([line.split() for line in t.split("\n")] for t in (ref, pred))

@@ -134,6 +134,35 @@ def test_pages(spark):
     assert {r["page_id"]: r["value"] for r in pages.extract_by_id(df, "lat").collect()} == {1: -23.55, 2: None}
 
 
+PAGE = """<html><head><title>a < b</title><script>var x = '<div id="box">no</div>';</script></head><body>
+<!-- <div id="box">hidden</div> --><p title='1 > 0 id="box"'>one<p data-id="box">two
+<DIV class=x ID = 'box'>A <b>bold &amp;<div>in <i>deep</div> tail<br/><img src="x>y.png"> <!-- </div> -->end<style>b{}</style></div>after
+<span id=bare>bare</span><ul id="l"><li>1<li>2<ul><li>3</li></ul></ul><p id="open">rest <b>of it</div></p>x<i id="z">to the end"""
+
+
+def test_whole_text_of_nested_elements(spark):
+    df = spark.createDataFrame([(1, PAGE), (2, None), (3, ""), (4, "<p"), (5, '<p id="box')], "page_id long, html string")
+
+    def text(**want):
+        return {r["page_id"]: r["text"] for r in pages.whole_text(df, **want).collect()}
+
+    assert text(element_id="box") == {1: "A bold &in deep tail end", 2: None, 3: None, 4: None, 5: None}
+    found = {k: text(element_id=k)[1] for k in ("bare", "l", "open", "z", "none")}
+    assert found == {"bare": "bare", "l": "123", "open": "rest of it", "z": "to the end", "none": None}
+    assert text(tag="title")[1] == "a < b" and text(tag="p")[1] == "one" and text(tag="DIV", element_id="bare")[1] is None
+    assert text(tag="br")[1] == "" and text(tag="img", element_id="box")[1] is None
+    deep = spark.createDataFrame([("<div id='r'>" + "<div>x" * 20000 + "</div>" * 20000 + "y</div>z" + "<a" * 50000,)], "html string")
+    assert pages.whole_text(deep, element_id="r").first()["text"] == "x" * 20000 + "y"
+
+
+def test_variations_of_any_depth(spark):
+    nested = "1. e4 " + "(1. d4 " * 30 + "d5" + ") c5 " * 29 + ") e5 2. Nf3 (2. f4 (2. Bc4) exf4) Nc6 1-0"
+    rows = [(1, nested), (2, "e4) e5 () d4"), (3, "e4 (e5 d4"), (4, ""), (5, None), (6, "{a (b} e4 ; ( c\n e5")]
+    df = spark.createDataFrame(rows, "id int, t string").select("id", records.moves(F.col("t")).alias("m"))
+    assert {r["id"]: r["m"] for r in df.collect()} == {
+        1: ["e4", "e5", "Nf3", "Nc6"], 2: ["e4", "e5", "d4"], 3: ["e4"], 4: [], 5: None, 6: ["e4", "e5"]}
+
+
 def test_synth_is_stable(spark):
     df = tables.synth(spark, 2000, 33)
     assert df.columns == [f"x{i}" for i in range(9)] + ["y"]
