@@ -105,7 +105,8 @@ def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None,
     Costs are settled in buckets of ``width`` (unless given, four times the mean cost of an edge,
     as a round costs more than some offers made in vain): edges shorter than that are relaxed
     while nodes of the bucket still improve, longer ones once when it is done. A round moves its frontier to the stored edges and its offers by hash of
-    ``id`` to the stored costs; neither is shuffled again, and no path travels. Equal costs
+    ``id`` to the stored costs. The edges are never shuffled again, stored costs only where
+    tables of several rounds are merged, and no path travels. Equal costs
     keep the fewer edges, then the lower predecessor, so predecessors form a tree even where
     edges cost nothing. With a ``goal``, offers above its best cost so far are dropped and
     nodes beyond it are left out.
@@ -126,6 +127,10 @@ def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None,
     known, bucket, pending = [active], [active], []
     bound, end, rounds = math.inf, width, 0
 
+    def together(tables: list[DataFrame]) -> DataFrame:
+        # Appended tables keep no order by hash that a plan may rely on: their scans can be split anew.
+        return reduce(DataFrame.unionByName, tables).repartition(links.buckets, "id")
+
     def relax(nodes: DataFrame, fits: bool, which: Column) -> DataFrame:
         nonlocal known, bound, rounds
         rounds += 1
@@ -134,7 +139,7 @@ def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None,
         better = by_hash(offers(links, nodes, known, fits, which, bound), "id", links.buckets, placed=True)
         known.append(better)
         if len(known) > _SEEN_TABLES:
-            known = [by_hash(_cheapest(reduce(DataFrame.unionByName, known)), "id", links.buckets)]
+            known = [by_hash(_cheapest(together(known)), "id", links.buckets, placed=True)]
         if goal is not None:
             reached = better.filter(F.col("id") == F.lit(goal)).agg(F.min("cost")).first()[0]
             bound = bound if reached is None else min(bound, reached)
@@ -149,13 +154,12 @@ def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None,
             pending.append(better.filter(F.col("cost") >= end))
             n, fits = fits_broadcast(active)
         if most is not None and most >= width:
-            done = _cheapest(reduce(DataFrame.unionByName, bucket))
+            done = _cheapest(together(bucket))
             pending.append(relax(done, fits_broadcast(done)[1], F.col("__w") >= width))
-        waiting = reduce(DataFrame.unionByName, pending).repartition(links.buckets, "id")
-        waiting = by_hash(_without(waiting, known, "k.pred < o.pred"), "id", links.buckets, placed=True)
+        waiting = by_hash(_without(together(pending), known, "k.pred < o.pred"), "id", links.buckets, placed=True)
         low = waiting.agg(F.min("cost")).first()[0]
         if low is None or low > bound:
-            return _cheapest(reduce(DataFrame.unionByName, known)).filter(F.col("cost") <= bound)
+            return _cheapest(together(known)).filter(F.col("cost") <= bound)
         end = max((math.floor(low / width) + 1) * width, math.nextafter(low, math.inf))
         active = waiting.filter(F.col("cost") < end)
         bucket, pending = [active], [waiting.filter(F.col("cost") >= end)]

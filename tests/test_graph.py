@@ -59,8 +59,20 @@ def costs_model(links, start):
     return best
 
 
+@pytest.fixture
+def split_scans(spark):
+    """Every file is a partition of its own, as large tables have it."""
+    with_values = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "2000"}
+    before = {k: spark.conf.get(k) for k in with_values}
+    for k, v in with_values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize(("width", "rows_per_task"), [(None, 10), (4.0, None)])
-def test_least_costs_with_ties_and_free_edges(spark, width, rows_per_task):
+def test_least_costs_with_ties_and_free_edges(spark, width, rows_per_task, split_scans):
     rng = random.Random(3)
     links = [(0, i, float(rng.randrange(0, 9))) for i in range(1, 25)]
     links += [(rng.randrange(40), rng.randrange(40), float(rng.choice([0, 0, 1, 2, 7]))) for _ in range(120)]
@@ -69,6 +81,7 @@ def test_least_costs_with_ties_and_free_edges(spark, width, rows_per_task):
     table = spark.createDataFrame(links + links[:9] + odd, "src long, dst long, cost double").repartition(5)
     tree = gr.materialize(gr.cost_tree(table, 0, width=width, rows_per_task=rows_per_task))
     got = {r["id"]: r for r in tree.collect()}
+    assert len(got) == tree.count()
     want = costs_model(links, 0)
     assert {k: (r["cost"], r["hops"]) for k, r in got.items()} == want
     walked = {}
@@ -84,12 +97,12 @@ def test_least_costs_with_ties_and_free_edges(spark, width, rows_per_task):
 
 
 def test_goal_start_alone_and_bad_costs(spark):
-    chain = [(i, i + 1, 1.0) for i in range(6)] + [(0, 6, 100.0), (0, 50, 4.0), (50, 51, 90.0)]
+    chain = [(i, i + 1, 1.0) for i in range(4)] + [(0, 4, 100.0), (0, 50, 4.0), (50, 51, 90.0)]
     table = spark.createDataFrame(chain, "src long, dst long, cost double")
     near = {r["id"]: r["cost"] for r in gr.cost_tree(table, 0, goal=3).collect()}
     assert near == {0: 0.0, 1: 1.0, 2: 2.0, 3: 3.0}
-    assert gr.least_cost_path(table, 0, 6).first()["path"] == [0, 1, 2, 3, 4, 5, 6]
-    assert gr.least_cost_path(table, 6, 0).isEmpty()
+    assert gr.least_cost_path(table, 0, 4).first()["path"] == [0, 1, 2, 3, 4]
+    assert gr.least_cost_path(table, 4, 0).isEmpty()
     assert [tuple(r) for r in gr.least_costs(table.limit(0), 9).collect()] == [(9, 0.0, [9])]
     with pytest.raises(ValueError):
         gr.cost_tree(table.selectExpr("src", "dst", "-cost as cost"), 0)
