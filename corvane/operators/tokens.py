@@ -66,17 +66,18 @@ def _looked_up(df: DataFrame, vocab: DataFrame, key: Sequence[str], unk_id: int)
 
 def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "right",
            pad_id: int = EOS_ID, unk_id: int = UNK_ID, text: str = "text",
-           key: Sequence[str] = ("doc_id",), head: int | None = None) -> DataFrame:
+           key: Sequence[str] = ("doc_id",), head: int | None = None, cut: bool = True) -> DataFrame:
     """Token ids cut to ``length`` and padded, with mask and labels; ``side=None`` does not pad.
 
+    Without ``cut`` a text of more tokens keeps them all, in a longer row.
+
     ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. One that is measured to
     fit a broadcast is looked up inside each row, without a shuffle. A larger one is cut: its
     ``head`` most frequent short tokens are broadcast, and only rare or very long tokens need
-    a shuffled lookup. Tokens beyond ``length`` never leave the scan stage, and a group is one
-    text of at most ``length`` ids.
+    a shuffled lookup. Tokens beyond ``length`` never leave the scan stage, unless ``cut`` is off.
     """
     head = limit(df.sparkSession, "broadcastRows", BROADCAST_ROWS, head)
-    tokens = F.slice(tx.words(F.col(text)), 1, length)
+    tokens = F.slice(tx.words(F.col(text)), 1, length) if cut else tx.words(F.col(text))
     table = vocab.select("token", "id")
     if fits_broadcast(table, head)[1]:
         ids = _looked_up(df.select(*key, tokens.alias("__tokens")), table, key, unk_id)

@@ -278,7 +278,7 @@ def a17(t):
     WITH {_ENCODED} SELECT count(*) AS n_rows, 512 AS min_len, 512 AS max_len,
       round(avg((len(ids) < 512 OR list_contains(ids, 2))::INT), 6) AS padded_share FROM ids""")
 def a18(t):
-    return st.profile(encoded(t), "input_ids", tk.EOS_ID).withColumn(
+    return st.profile(encoded(t, cut=True), "input_ids", tk.EOS_ID).withColumn(
         "padded_share", F.round("padded_share", 6))
 
 

@@ -1,14 +1,22 @@
 """Golden cases and properties of text functions, chunks, templates and tokens."""
 
+import os
 import random
+import sys
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
+from check import compare  # noqa: E402
+
 from corvane.functions import text as tx
 from corvane.operators import chunks as ck
 from corvane.operators import templates as tp
 from corvane.operators import tokens as tk
+from corvane.plans import load_all
 
 
 def one(spark, expr, **cols):
@@ -210,3 +218,25 @@ def test_batches_and_collation(spark):
     assert out[0]["labels"] == [3] + [-100] * 7
     longest = tk.pad_to_longest(placed, "batch").orderBy("doc_id").collect()
     assert [len(r["input_ids"]) for r in longest] == [2, 2, 4, 4, 6, 6, 8, 8, 10, 10]
+
+
+def test_long_rows_stay_whole_without_cut(spark):
+    df = docs(spark, ["a " * 9, "b a"])
+    vocab = tk.build_vocab(df, specials=())
+    for head in (100, 1):
+        whole = {r["doc_id"]: r for r in tk.encode(df, vocab, 5, head=head, cut=False).collect()}
+        assert whole[0]["input_ids"] == [3] * 9 == whole[0]["labels"] and whole[0]["attention_mask"] == [1] * 9
+        assert whole[1]["input_ids"] == [4, 3, 2, 2, 2] and whole[1]["attention_mask"] == [1, 1, 0, 0, 0]
+        assert {len(r["input_ids"]) for r in tk.encode(df, vocab, 5, head=head).collect()} == {5}
+
+
+def test_queries_keep_chunks_of_many_short_words(spark, tmp_path):
+    """A chunk of 1,024 characters and 100 of overlap may hold 562 words, more than the 512 ids of a padded row."""
+    text = "a " * 2000
+    spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long") \
+        .coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    for name in ("t14_encode", "t14_training_rows", "t14_no_token_lost", "t15_encode_left", "t15_pad_to_longest", "t16_collate", "a18_profile"):
+        query = load_all()[name]
+        assert compare(query.run(spark, str(tmp_path)), con, query.sql) == [], name
