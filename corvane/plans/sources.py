@@ -138,7 +138,7 @@ def s9(t):
     text = F.translate("text", "[{();$", "______")
     black = F.when(F.col("lang") == "de", "").otherwise(F.concat(F.lit('[Black "'), "lang", F.lit('"]\n')))
     record = F.concat(F.lit('[Event "Event '), F.col("doc_id").cast("string"), F.lit('"]\n[White "'), "source", F.lit('"]\n'),
-                      black, F.lit("\n1."), text, F.lit(" 1-0"))
+                      black, F.lit("\n1. "), text, F.lit(" 1-0"))
     t("documents").select(record.alias("value")).write.option("lineSep", "\n\n").text(path)
     games = records.read_game_records(t.spark, path)
     return games.select(

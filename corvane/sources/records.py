@@ -44,7 +44,7 @@ def parse_game_records(records: DataFrame, text: str = "value", cap: int | None
 
     Lines may end in ``\n`` or ``\r\n``. ``cap`` keeps that many games, as a limit on the parsed table.
     """
-    body = F.replace(F.col(text), F.lit("\r"), F.lit(""))
+    body = F.replace(F.col(text), F.lit("\r\n"), F.lit("\n"))
     first = F.startswith(F.ltrim(body), F.lit("[Event "))
     whole = F.when(first, F.ltrim(body)).otherwise(F.concat(F.lit("[Event "), body))
     parts = F.split(whole, "\n\n", 2)

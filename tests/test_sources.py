@@ -273,6 +273,14 @@ def test_article_query_on_cut_references(spark, tmp_path):
     assert against_sql(spark, tmp_path, "pages", "s11_article_text") == []
 
 
+def test_game_query_on_texts_that_begin_like_a_move(spark, tmp_path):
+    texts = ["44.144.126.223 a", ".5 b", "12. c", "d\re\r\nf", "3.14", "1-0 g", ""]
+    rows = [(i, x, "en", "s", len(x)) for i, x in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long") \
+        .coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert against_sql(spark, tmp_path, "documents", "s9_parse_game_records") == []
+
+
 def against_sql(spark, folder, table, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
