@@ -51,31 +51,31 @@ class Links:
         return cold.unionByName(self.hot.join(few, "src"))
 
 
-def by_hash(df: DataFrame, key: str, buckets: int, placed: bool = False) -> DataFrame:
+def by_hash(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """``df`` written to the shared folder in ``buckets`` files by hash of ``key``; joins on ``key`` read it in place.
 
-    The session's catalog knows the files as a table of a name of its own. ``placed`` says that
-    ``df`` already lies that way.
+    The session's catalog knows the files as a table of a name of its own.
     """
     name = f"corvane_{uuid.uuid4().hex}"
-    writer = (df if placed else df.repartition(buckets, key)).write.bucketBy(buckets, key).option("path", scratch_path(df.sparkSession, "by-hash"))
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", scratch_path(df.sparkSession, "by-hash"))
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
-#: Tables of seen nodes that a round reads; more are written together, in place.
+#: Tables of seen nodes or costs that a round reads; more are written together.
 _SEEN_TABLES = 8
 
 
 def reachable(edge: DataFrame, start: DataFrame, rows_per_task: int | None = None, max_rounds: int | None = None) -> DataFrame:
     """(id, hops) of every node reached from the ids in ``start``.
 
-    Each round moves the new frontier to the stored edges, drops nodes seen before and
-    writes the rest by hash of ``id``. Neither the edges nor the nodes seen are shuffled
-    again, and rounds go on until one finds nothing, or fail after ``max_rounds`` if given.
+    Each round moves the new frontier to the stored edges, which are never shuffled again,
+    reduces what it offers to distinct nodes inside the tasks, drops nodes seen before in one
+    join and writes the rest. Rounds go on until one finds nothing, or fail after
+    ``max_rounds`` if given.
     """
-    links = Links(edge.select("src", "dst").filter("src is not null and dst is not null").distinct(), rows_per_task)
-    frontier = by_hash(start.select("id").filter("id is not null").distinct().withColumn("hops", F.lit(0)), "id", links.buckets)
+    links = Links(edge.select("src", "dst").filter("src is not null and dst is not null"), rows_per_task)
+    frontier = materialize(start.select("id").filter("id is not null").distinct().withColumn("hops", F.lit(0)), "frontier")
     seen = [frontier]
     for hops in count(1):
         n, fits = fits_broadcast(frontier)
@@ -83,19 +83,16 @@ def reachable(edge: DataFrame, start: DataFrame, rows_per_task: int | None = Non
             return reduce(DataFrame.unionByName, seen)
         if max_rounds is not None and hops > max_rounds:
             raise RuntimeError(f"not finished after {max_rounds} rounds")
-        frontier = by_hash(next_level(links, frontier, seen, hops, fits), "id", links.buckets)
+        frontier = materialize(next_level(links, frontier, seen, hops, fits), "frontier")
         seen.append(frontier)
         if len(seen) > _SEEN_TABLES:
-            seen = [by_hash(reduce(DataFrame.unionByName, seen), "id", links.buckets)]
+            seen = [materialize(reduce(DataFrame.unionByName, seen), "seen")]
 
 
 def next_level(links: Links, frontier: DataFrame, seen: list[DataFrame], hops: int, fits: bool) -> DataFrame:
     """(id, hops) of the nodes one edge beyond the frontier that no table of ``seen`` holds."""
-    step = links.meet(frontier.select(F.col("id").alias("src")), fits).select(F.col("dst").alias("id"))
-    step = step.repartition(links.buckets, "id").distinct()
-    for known in seen:
-        step = step.join(known.select("id").hint("shuffle_hash"), "id", "left_anti")
-    return step.withColumn("hops", F.lit(hops))
+    step = links.meet(frontier.select(F.col("id").alias("src")), fits).select(F.col("dst").alias("id")).distinct()
+    return step.join(reduce(DataFrame.unionByName, seen).select("id"), "id", "left_anti").withColumn("hops", F.lit(hops))
 
 
 def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None, width: float | None = None,
@@ -104,9 +101,10 @@ def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None,
 
     Costs are settled in buckets of ``width`` (unless given, four times the mean cost of an edge,
     as a round costs more than some offers made in vain): edges shorter than that are relaxed
-    while nodes of the bucket still improve, longer ones once when it is done. A round moves its frontier to the stored edges and its offers by hash of
-    ``id`` to the stored costs. The edges are never shuffled again, stored costs only where
-    tables of several rounds are merged, and no path travels. Equal costs
+    while nodes of the bucket still improve, longer ones once when it is done. A round moves its
+    frontier to the stored edges, which are never shuffled again, reduces its offers to one per
+    node inside the tasks, and drops those that a known cost beats in one sorted join, so no task
+    holds more than a share of the frontier in memory. No path travels. Equal costs
     keep the fewer edges, then the lower predecessor, so predecessors form a tree even where
     edges cost nothing. With a ``goal``, offers above its best cost so far are dropped and
     nodes beyond it are left out.
@@ -123,23 +121,22 @@ def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None,
     width = width or 4 * (mean or 0.25)
     first = spark.range(1).select(F.lit(start).cast(kind).alias("id"), F.lit(0.0).alias("cost"),
                                   F.lit(0).alias("hops"), F.lit(None).cast(kind).alias("pred"))
-    active = by_hash(first, "id", links.buckets)
+    active = materialize(first, "costs")
     known, bucket, pending = [active], [active], []
     bound, end, rounds = math.inf, width, 0
 
     def together(tables: list[DataFrame]) -> DataFrame:
-        # Appended tables keep no order by hash that a plan may rely on: their scans can be split anew.
-        return reduce(DataFrame.unionByName, tables).repartition(links.buckets, "id")
+        return reduce(DataFrame.unionByName, tables)
 
     def relax(nodes: DataFrame, fits: bool, which: Column) -> DataFrame:
         nonlocal known, bound, rounds
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"not finished after {max_rounds} rounds")
-        better = by_hash(offers(links, nodes, known, fits, which, bound), "id", links.buckets, placed=True)
+        better = materialize(offers(links, nodes, known, fits, which, bound), "costs")
         known.append(better)
         if len(known) > _SEEN_TABLES:
-            known = [by_hash(_cheapest(together(known)), "id", links.buckets, placed=True)]
+            known = [materialize(_cheapest(together(known)), "costs")]
         if goal is not None:
             reached = better.filter(F.col("id") == F.lit(goal)).agg(F.min("cost")).first()[0]
             bound = bound if reached is None else min(bound, reached)
@@ -156,7 +153,7 @@ def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None,
         if most is not None and most >= width:
             done = _cheapest(together(bucket))
             pending.append(relax(done, fits_broadcast(done)[1], F.col("__w") >= width))
-        waiting = by_hash(_without(together(pending), known, "k.pred < o.pred"), "id", links.buckets, placed=True)
+        waiting = materialize(_without(together(pending), known, "k.pred < o.pred"), "waiting")
         low = waiting.agg(F.min("cost")).first()[0]
         if low is None or low > bound:
             return _cheapest(together(known)).filter(F.col("cost") <= bound)
@@ -166,20 +163,17 @@ def cost_tree(edge: DataFrame, start: str | int, goal: str | int | None = None,
 
 
 def offers(links: Links, nodes: DataFrame, known: list[DataFrame], fits: bool, which: Column, bound: float) -> DataFrame:
-    """(id, cost, hops, pred) one edge beyond ``nodes`` that beat every row of ``known``, placed by hash of ``id``."""
+    """(id, cost, hops, pred) one edge beyond ``nodes`` that beat every row of every table of ``known``."""
     step = links.meet(nodes.select(F.col("id").alias("src"), "cost", "hops"), fits).filter(which)
     step = step.select(F.col("dst").alias("id"), (F.col("cost") + F.col("__w")).alias("cost"),
                        (F.col("hops") + 1).alias("hops"), F.col("src").alias("pred"))
-    step = step.filter(F.col("cost") <= F.lit(bound)).repartition(links.buckets, "id")
-    return _without(_cheapest(step), known, "k.pred <= o.pred")
+    return _without(_cheapest(step.filter(F.col("cost") <= F.lit(bound))), known, "k.pred <= o.pred")
 
 
 def _without(rows: DataFrame, known: list[DataFrame], tie: str) -> DataFrame:
-    """``rows`` that no row of ``known`` with their id beats; ``tie`` decides between equal costs and hops."""
+    """``rows`` that no row of a table of ``known`` with their id beats; ``tie`` decides between equal costs and hops."""
     beats = f"k.id = o.id and (k.cost < o.cost or k.cost = o.cost and (k.hops < o.hops or k.hops = o.hops and {tie}))"
-    for table in known:
-        rows = rows.alias("o").join(table.alias("k").hint("shuffle_hash"), F.expr(beats), "left_anti")
-    return rows
+    return rows.alias("o").join(reduce(DataFrame.unionByName, known).alias("k"), F.expr(beats), "left_anti")
 
 
 def _cheapest(rows: DataFrame) -> DataFrame:

@@ -120,3 +120,15 @@ def test_offers_shuffle_no_edges_costs_or_paths(spark):
         plan = step._jdf.queryExecution().executedPlan().toString()
         shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
         assert len(shuffles) <= (1 if fits else 2) and "array" not in plan, plan
+
+
+def test_a_round_meets_all_known_costs_in_one_join(spark):
+    """One hash table a known table and task cannot be spilled; their number grew with the rounds."""
+    links = gr.Links(spark.range(400).selectExpr("id as src", "id * 7 % 400 as dst", "1.0d as __w"))
+    known = [spark.range(i, i + 40).selectExpr("id", "0.0d as cost", "0 as hops", "id as pred") for i in range(0, 160, 20)]
+    step = gr.offers(links, known[0], known, False, F.lit(True), 1e9)
+    plan = step._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1, plan
+    seen = gr.next_level(links, known[0], known, 1, False)
+    assert seen._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
+    assert {r["id"] for r in step.collect()} == {i * 7 % 400 for i in range(40)} - set(range(180))
