@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.operators.rouge import rouge_l, rouge_n
+from corvane.operators.rouge import rouge
 from corvane.scale import Ordered
 
 
@@ -48,10 +48,9 @@ def metric_means(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def rouge_means(pairs: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Means of ROUGE-1, -2, -L and -Lsum over all pairs, in one row; scores are appended, not joined."""
-    scores = rouge_n(pairs, 1, key).unionByName(rouge_n(pairs, 2, key), allowMissingColumns=True).unionByName(
-        rouge_l(pairs, key), allowMissingColumns=True)
-    return metric_means(scores, ["rouge1", "rouge2", "rougeL", "rougeLsum"])
+    """Means of ROUGE-1, -2, -L and -Lsum over all pairs, in one row, from one pass over them."""
+    names = ["rouge1", "rouge2", "rougeL", "rougeLsum"]
+    return metric_means(rouge(pairs, key, names), names)
 
 
 def last_entry(df: DataFrame, order: Sequence[str], cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

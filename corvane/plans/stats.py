@@ -222,8 +222,7 @@ def a10_four(t):
     SELECT round(avg(r1.score), 6) AS rouge1, round(avg(r2.score), 6) AS rouge2
     FROM ({_rouge_sql(1, False)}) r1 JOIN ({_rouge_sql(2, False)}) r2 ON r1.conv_id = r2.conv_id AND r1.turn = r2.turn""")
 def a10(t):
-    pairs = _pairs(t)
-    both = rg.rouge_n(pairs, 1, ["conv_id", "turn"]).join(rg.rouge_n(pairs, 2, ["conv_id", "turn"]), ["conv_id", "turn"])
+    both = rg.rouge(_pairs(t), ["conv_id", "turn"], ["rouge1", "rouge2"])
     means = st.metric_means(both, ["rouge1", "rouge2"])
     return means.select(*[F.round(n, 6).alias(n) for n in ("rouge1", "rouge2")])
 

@@ -344,3 +344,15 @@ def test_confusion_matrix_counts_unlisted_predictions(spark):
     df = spark.createDataFrame([(0, 0), (0, 2), (1, None), (1, 1)], "y int, yhat int")
     got = {r["y"]: (r["pred_0"], r["pred_1"], r["pred_other"]) for r in st.confusion_matrix(df, "y", "yhat", [0, 1]).collect()}
     assert got == {0: (1, 0, 1), 1: (0, 1, 1)}
+
+
+def test_rouge_scores_each_pair_where_it_lies(spark):
+    """Hash tables of all n-grams of a partition outgrew a task; the scores of a pair need no shuffle."""
+    rows = [(1, "A b a-c", "a a b d"), (2, None, "x"), (3, "x", ""), (4, "a b", "a b"), (5, "Ka İ", "ka i")]
+    df = spark.createDataFrame(rows, "id long, prediction string, reference string")
+    out = rg.rouge(df, ["id"], ["rouge1", "rouge2"])
+    for scored in (out, rg.rouge_n(df, 2, ["id"])):
+        assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: (r["rouge1"], r["rouge2"]) for r in out.collect()}
+    assert got[2] == got[3] == (0.0, 0.0) and got[4] == (100.0, 100.0) and got[5] == (100.0, 100.0)
+    assert got[1] == (pytest.approx(75.0), pytest.approx(100 / 3))
