@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.llm.filters import KeyFilter, key_filter
-from corvane.llm.kernels import BYTE_VALUES, FOLDED_VALUES, blocks, flat, longs, mix, span_hashes
+from corvane.llm.kernels import BYTE_VALUES, COUNT_BYTES, FOLDED_VALUES, blocks, flat, longs, mix, span_hashes
 from corvane.llm.rows import batch, map_blocks, materialize, shared
 from corvane.scale import fits_broadcast, lookup_join
 from corvane.ship import ship
@@ -74,7 +74,7 @@ def word_counts(source: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
-        for block in blocks(batches):
+        for block in blocks(batches, max_bytes=COUNT_BYTES):
             ids, rows, starts, ends, _ = words(block)
             keys, first, n = np.unique(ids, return_index=True, return_counts=True)
             known = [k in sent for k in keys.tolist()]
@@ -105,7 +105,7 @@ def pair_counts(source: DataFrame, frequent: KeyFilter) -> DataFrame:
         keys, n = np.unique(_pairs(ids)[follows], return_counts=True)
         return batch(pair=longs(keys), n=pa.array(n, pa.int64()))
 
-    return map_blocks(source, kernel, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    return map_blocks(source, kernel, "pair bigint, n bigint", max_bytes=COUNT_BYTES).groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def windows(source: DataFrame, frequent: KeyFilter, pairs: KeyFilter) -> DataFrame:
@@ -134,7 +134,7 @@ def windows(source: DataFrame, frequent: KeyFilter, pairs: KeyFilter) -> DataFra
         _, first, n = np.unique(whole, return_index=True, return_counts=True)
         return batch(**{name: longs(column[first]) for name, column in zip(_W, lead)}, n=pa.array(n, pa.int64()))
 
-    return map_blocks(source, kernel, ", ".join(f"{w} bigint" for w in _W) + ", n bigint")
+    return map_blocks(source, kernel, ", ".join(f"{w} bigint" for w in _W) + ", n bigint", max_bytes=COUNT_BYTES)
 
 
 def phrase_counts(found: DataFrame, least: int) -> DataFrame:

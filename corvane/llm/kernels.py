@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 4 * 2 ** 20
+COUNT_BYTES = 2 ** 20  # of text at once where all words or n-grams of a block are counted: 50 MB of arrays
 BLOCK_ROWS = 4096
 TOKEN_BITS = np.uint64(52)
 TOKEN_MASK = np.uint64(2 ** 52 - 1)

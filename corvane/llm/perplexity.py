@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.kernels import blocks, flat
+from corvane.llm.kernels import COUNT_BYTES, blocks, flat
 from corvane.llm.measures import measures
 from corvane.llm.rows import (TABLE_ENTRIES, batch, fresh, histogram, least_count, map_blocks, materialize,
                               shared, table)
@@ -41,22 +41,30 @@ def _runs(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sorted_[first], np.diff(np.append(first, len(sorted_)))
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, their summed counts) of several tables."""
+    keys, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(which, weights=np.concatenate([n for _, n in parts]), minlength=len(keys)).astype(np.int64)
+
+
 def count_grams(docs: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame:
     """``gram``, ``n``: how often each byte n-gram occurs in all texts; summed in the tasks before the shuffle."""
     ship(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for block in blocks(batches):
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for block in blocks(batches, max_bytes=COUNT_BYTES):
             packed, _ = grams(*flat(block.column("text")), order)
-            more, n = _runs(np.sort(packed))
-            both, which = np.unique(np.concatenate([keys, more]), return_inverse=True)
-            sums = np.bincount(which, weights=np.concatenate([sums, n])).astype(np.int64)
-            keys = both
-            if len(keys) > TABLE_ENTRIES:
-                yield batch(gram=pa.array(keys), n=pa.array(sums))
-                keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        yield batch(gram=pa.array(keys), n=pa.array(sums))
+            packed.sort()
+            parts.append(_runs(packed))
+            if sum(len(keys) for keys, _ in parts) > 2 * TABLE_ENTRIES:
+                parts = [_summed(parts)]
+                if len(parts[0][0]) > TABLE_ENTRIES:
+                    yield batch(gram=pa.array(parts[0][0]), n=pa.array(parts[0][1]))
+                    parts = []
+        if parts:
+            keys, sums = _summed(parts)
+            yield batch(gram=pa.array(keys), n=pa.array(sums))
 
     found = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(count, "gram bigint, n bigint")
     return found.groupBy("gram").agg(F.sum("n").alias("n"))

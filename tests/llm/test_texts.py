@@ -232,3 +232,22 @@ def test_frequent_never_takes_more_than_fits(spark):
         cut = frequent(counts, "n", entries)
         assert sum(v >= cut for v in values) <= entries
     assert frequent(counts, "n", 500) == 1 and frequent(counts.limit(0), "n", 5) == 1
+
+
+def test_counting_blocks_stay_small():
+    """Tasks that count hold few arrays of one block of a megabyte; four megabytes took 190 MB and more."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from corvane.llm import collocations, kernels, perplexity
+    texts = pa.RecordBatch.from_pydict({"text": ["ab cd efg " * 3000] * 200, "lang": ["en"] * 200})
+    for count in (lambda b: collocations.words(b), lambda b: perplexity._runs(np.sort(perplexity.grams(*kernels.flat(b.column("text")))[0]))):
+        tracemalloc.start()
+        for block in kernels.blocks(iter([texts]), max_bytes=kernels.COUNT_BYTES):
+            count(block)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100 * 2 ** 20
+    parts = [(np.array([1, 5]), np.array([2, 3])), (np.array([5, 7]), np.array([4, 1]))]
+    assert [x.tolist() for x in perplexity._summed(parts)] == [[1, 5, 7], [2, 7, 1]]
