@@ -57,7 +57,7 @@ def st3(t):
     white = F.when(F.col("role") == "system", "").otherwise(F.concat(F.lit('[White "'), "role", F.lit('"]\n')))
     text = F.translate("text", "[{();$", "______")
     record = F.concat(F.lit('[Event "'), F.concat_ws(" ", "conv_id", "turn"), F.lit('"]\n'), white,
-                      F.lit('[Black "x"]\n\n1.'), text)
+                      F.lit('[Black "x"]\n\n1. '), text)
     t("conversations").select(record.alias("value")).write.option("lineSep", "\n\n").text(path)
     games = ss.run_available(ss.stream_records(t.spark, path), "st3")
     ids = F.split(F.col("headers")["Event"], " ")

@@ -286,3 +286,10 @@ def against_sql(spark, folder, table, name):
     con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
     query = load_all()[name]
     return compare(query.run(spark, str(folder)), con, query.sql)
+
+
+def test_record_stream_query_on_texts_that_begin_like_a_move(spark, tmp_path):
+    rows = [(1, i, "user", x) for i, x in enumerate(["44. a", "3.", "1-0 b", ".. c", "d\re"])]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string") \
+        .coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    assert against_sql(spark, tmp_path, "conversations", "st3_stream_records") == []
