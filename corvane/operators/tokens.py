@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -64,6 +65,59 @@ def _looked_up(df: DataFrame, vocab: DataFrame, key: Sequence[str], unk_id: int)
     return df.mapInArrow(run, f"{kinds}, input_ids array<int>")
 
 
+def _head_and_rare(df: DataFrame, head: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Ids of the words in ``__tokens`` that ``head`` knows, null for the others; those in ``__rare``, in their order."""
+    known = head.toArrow()
+    held = df.sparkSession.sparkContext.broadcast(
+        (known.column("token").combine_chunks(), known.column("id").cast(pa.int32()).combine_chunks()))
+
+    def run(batches):
+        words, ids = held.value
+        for batch in batches:
+            lists = batch.column("__tokens")
+            tokens = lists.flatten().cast(words.type)
+            found = ids.take(pc.index_in(tokens, value_set=words))
+            rare = pc.is_null(found)
+            bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            before = np.concatenate([[0], np.cumsum(rare.to_numpy(zero_copy_only=False))])
+            columns = [batch.column(k) for k in key]
+            columns += [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found),
+                        pa.ListArray.from_arrays(pa.array(before[bounds], pa.int32()), tokens.filter(rare))]
+            yield pa.RecordBatch.from_arrays(columns, [*key, "input_ids", "__rare"])
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in key)
+    return df.mapInArrow(run, f"{kinds}, input_ids array<int>, __rare array<string>")
+
+
+def _filled(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``input_ids`` with its nulls replaced by ``__ids``, in their order."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("input_ids")
+            values, more = lists.flatten(), batch.column("__ids").flatten()
+            values = pc.replace_with_mask(values, pc.is_null(values), more)
+            bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            columns = [batch.column(k) for k in key] + [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)]
+            yield pa.RecordBatch.from_arrays(columns, [*key, "input_ids"])
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in key)
+    return df.mapInArrow(run, f"{kinds}, input_ids array<int>")
+
+
+def _looked_up_beyond(df: DataFrame, table: DataFrame, head: int, key: Sequence[str], unk_id: int) -> DataFrame:
+    """Ids of the word lists in ``__tokens`` from a vocabulary of any size: only words outside its head are shuffled."""
+    edge = table.agg(F.min("id")).first()[0] + head
+    frequent = (F.col("id") < edge) & (F.octet_length("token") <= SHORT_BYTES)
+    near = _head_and_rare(df, table.filter(frequent), key).withColumn("__row", F.monotonically_increasing_id())
+    near = materialize(near, "near")  # the row numbers are fixed by writing them
+    rare = near.select("__row", F.posexplode("__rare").alias("__pos", "token"))
+    found = lookup_join(rare, table.filter(~frequent), ["token"], fits=False)
+    item = F.struct("__pos", F.coalesce("id", F.lit(unk_id)).cast("int").alias("id"))
+    more = found.groupBy("__row").agg(F.array_sort(F.collect_list(item)).alias("__items")) \
+        .select("__row", F.transform("__items", lambda x: x["id"]).alias("__ids"))
+    whole = near.filter(F.size("__rare") == 0).select(*key, "input_ids")
+    open_ = near.filter(F.size("__rare") > 0).drop("__rare").join(more, "__row")
+    return whole.unionByName(_filled(open_.select(*key, "input_ids", "__ids"), key))
+
+
 def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "right",
            pad_id: int = EOS_ID, unk_id: int = UNK_ID, text: str = "text",
            key: Sequence[str] = ("doc_id",), head: int | None = None, cut: bool = True) -> DataFrame:
@@ -73,8 +127,8 @@ def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "rig
 
     ``vocab`` is ordered by frequency, as ``build_vocab`` returns it. One that is measured to
     fit a broadcast is looked up inside each row, without a shuffle. A larger one is cut: its
-    ``head`` most frequent short tokens are broadcast, and only rare or very long tokens need
-    a shuffled lookup. Tokens beyond ``length`` never leave the scan stage, unless ``cut`` is off.
+    ``head`` most frequent short tokens are looked up inside each row too, and only rare or very long
+    tokens are shuffled to their ids and back to their rows. Tokens beyond ``length`` never leave the scan stage, unless ``cut`` is off.
     """
     head = limit(df.sparkSession, "broadcastRows", BROADCAST_ROWS, head)
     tokens = F.slice(tx.words(F.col(text)), 1, length) if cut else tx.words(F.col(text))
@@ -82,17 +136,7 @@ def encode(df: DataFrame, vocab: DataFrame, length: int, side: str | None = "rig
     if fits_broadcast(table, head)[1]:
         ids = _looked_up(df.select(*key, tokens.alias("__tokens")), table, key, unk_id)
     else:
-        exploded = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
-        edge = table.agg(F.min("id")).first()[0] + head
-        frequent = (F.col("id") < edge) & (F.octet_length("token") <= SHORT_BYTES)
-        near = exploded.join(F.broadcast(table.filter(frequent)), "token", "left")
-        rare = near.filter("id is null and token is not null").drop("id")
-        known = near.filter("id is not null or token is null").unionByName(
-            lookup_join(rare, table.filter(~frequent), ["token"], fits=False))
-        item = F.when(F.col("token").isNotNull(),
-                      F.struct("pos", F.coalesce("id", F.lit(unk_id)).cast("int").alias("id")))
-        ids = (known.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-               .select(*key, F.transform("__items", lambda x: x["id"]).alias("input_ids")))
+        ids = _looked_up_beyond(df.select(*key, tokens.alias("__tokens")), table, head, key, unk_id)
     if side is None:
         return ids
     col, width = F.col("input_ids"), F.lit(length)
