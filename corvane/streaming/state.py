@@ -152,21 +152,25 @@ def stream_running_state(turns: DataFrame, roles: Sequence[str] = ("system", "us
 
 
 class _QUpdate(StatefulProcessor):
-    """Weights of one key, its step count and its open step (s, a, r); rows wait by time slice."""
+    """Weights of one key, its step count and its open step (s, a, r); rows wait by time slice.
+
+    Every call to state costs far more than a step, so the weights, one per state and action the key has
+    taken, are one value that is read and written once for all slices that are due.
+    """
 
     def __init__(self, gamma: float, slice_ms: int):
         self.gamma, self.slice_ms = gamma, slice_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "n long, s string, a string, r double, event_id long")
-        self.weights = handle.getMapState("weights", "feature string", "w double")
+        self.learnt = handle.getValueState("learnt", "n long, s string, a string, r double, event_id long, "
+                                                     "features array<string>, weights array<double>")
         self.slices = handle.getValueState("slices", "ends array<long>, parts array<long>")
         self.waiting = handle.getMapState("waiting", "slice long, part long",
                                           "ts array<long>, event_id array<long>, s array<string>, a array<string>, r array<double>")
 
     def _slices(self) -> dict[int, int]:
-        return dict(zip(*self.slices.get())) if self.slices.exists() else {}
+        return dict(zip(*(self.slices.get() or ((), ()))))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held = self._slices()
@@ -200,16 +204,12 @@ class _QUpdate(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = self._slices()
         due = [e for e in sorted(held) if e <= expiredTimerInfo.getExpiryTimeInMs()]
-        n, *open_step = self.open.get() if self.open.exists() else (0, None)
-        known: dict[str, float] = {}
-
-        def weight(feature: str) -> float:
-            if feature not in known:
-                known[feature] = self.weights.getValue((feature,))[0] if self.weights.containsKey((feature,)) else 0.0
-            return known[feature]
-
+        if not due:
+            return
+        n, *open_step, features, weights = self.learnt.get() or (0, None, (), ())
+        known = dict(zip(features, weights))
         for end in due:  # one slice in memory at a time
-            out, changed = [], set()
+            out = []
             for _, event_id, s, a, r in self._slice(end, held.pop(end)):
                 if open_step[0] is not None:
                     s0, a0, r0, id0 = open_step
@@ -217,18 +217,14 @@ class _QUpdate(StatefulProcessor):
                     # Fixed rule: step 1/sqrt(n), rate 50/(50 + step), target with the same next action.
                     alpha = 50 / (50 + 1 / sqrt(n))
                     feature = f"{s0}|{a0}"
-                    old = weight(feature)
-                    known[feature] = old + alpha * (r0 + self.gamma * weight(f"{s}|{a0}") - old)
-                    changed.add(feature)
+                    old = known.get(feature, 0.0)
+                    known[feature] = old + alpha * (r0 + self.gamma * known.get(f"{s}|{a0}", 0.0) - old)
                     out.append((key[0], id0, s0, a0, known[feature]))
                 open_step = [s, a, float(r), int(event_id)]
-            for feature in changed:
-                self.weights.updateValue((feature,), (known[feature],))
             if out:
                 yield pd.DataFrame(out, columns=["user_id", "event_id", "s", "a", "w"])
-        if due:
-            self.open.update((n, *open_step))
-            self.slices.update((sorted(held), [held[e] for e in sorted(held)]))
+        self.learnt.update((n, *open_step, list(known), list(known.values())))
+        self.slices.update((sorted(held), [held[e] for e in sorted(held)]))
 
     def close(self) -> None:
         pass
