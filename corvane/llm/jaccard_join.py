@@ -14,13 +14,14 @@ from corvane.llm import linking
 from corvane.llm.kernels import blocks, flat, lists, longs, mix, row_bounds, shingles
 from corvane.llm.rows import (TABLE_ENTRIES, batch, frequent, fresh, materialize, shared, table,
                               texts)
-from corvane.scale import fits_broadcast
+from corvane.scale import fits_broadcast, lookup_join
 from corvane.ship import ship
 
 WIDTH, PERCENT, ORDERS = 5, 75, 3
 _SEEN_TOKENS = 8 * 2 ** 20
 _SEED = np.uint64(0xA0761D6478BD642F)
 _BITS, _LANES = 512, [f"bits{i}" for i in range(8)]
+_CELLS, _MARKS = 1024, [f"cells{i}" for i in range(16)]
 _SEEDS = mix(np.arange(1, 17, dtype=np.uint64) * _SEED)
 
 
@@ -194,6 +195,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, order, percent: int, orders: in
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def _versus(faced: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``center``, ``id``, ``linked``, and how the two sets lie: ``both`` (common tokens), ``differ`` (tokens of one
+    only), 1,024 bits: which of 1,024 buckets those fall into, and ``around`` (tokens of the center)."""
+    tokens = faced.join(sets.select("id", F.col("tokens").alias("x")), "id")
+    middle = faced.select(F.col("center").alias("id")).distinct().join(sets, "id").toDF("center", "y")
+    joined = lookup_join(tokens, materialize(middle, "middle"), ["center"], "inner").select("center", "id", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            values = {t: rows.column(t).flatten().to_numpy().view(np.uint64) for t in "xy"}
+            ends = {t: np.concatenate([[0], np.cumsum(rows.column(t).value_lengths().to_numpy())]) for t in "xy"}
+            n = rows.num_rows
+            both, differ, cells = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, _CELLS), np.uint8)
+            for i in range(n):
+                x, y = (values[t][ends[t][i]:ends[t][i + 1]] for t in "xy")
+                odd = np.setxor1d(x, y, assume_unique=True)
+                differ[i] = len(odd)
+                both[i] = (len(x) + len(y) - len(odd)) // 2
+                cells[i, (mix(odd ^ _SEEDS[4]) >> np.uint64(64 - 10)).astype(np.int64)] = 1
+            words = np.packbits(cells, axis=1, bitorder="little").view(np.uint64)
+            around = np.diff(ends["y"])
+            linked = 100 * both >= percent * (np.diff(ends["x"]) + around - both)
+            yield batch(center=rows.column("center"), id=rows.column("id"), linked=pa.array(linked),
+                        both=pa.array(both), differ=pa.array(differ), around=pa.array(around, pa.int64()),
+                        **{c: longs(words[:, i]) for i, c in enumerate(_MARKS)})
+    marks = ", ".join(f"{c} bigint" for c in _MARKS)
+    return joined.mapInArrow(run, f"center bigint, id bigint, linked boolean, both bigint, differ bigint, around bigint, {marks}")
+
+
 def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, orders: int = ORDERS,
                key: str = "doc_id", text: str = "text") -> DataFrame:
     """Classes of documents whose sets of ``width``-word shingles are linked by Jaccard >= ``percent`` / 100.
@@ -284,7 +314,23 @@ def classes(source: DataFrame, width: int, percent: int, orders: int) -> DataFra
         sets = materialize(_sets(source, wanted, width), "tokens")
         return _verified(pairs, sets, order, percent, orders)
 
-    labels = linking.classes(met, verify, plausible, facts, possible)
+    def versus(faced: DataFrame) -> DataFrame:
+        wanted = materialize(faced.select("id").unionByName(faced.select(F.col("center").alias("id"))).distinct(), "wanted")
+        return _versus(faced, materialize(_sets(source, wanted, width), "tokens"), percent)
+
+    def apart(left: str, right: str) -> Column:
+        """Whether two sets may have as many tokens in common as a link needs: those that both have of the
+        center's, less what each lacks, and those of their differences from it that may be the same."""
+        x, y = F.col(left + "n"), F.col(right + "n")
+        need = F.ceil((x + y) * percent / (100 + percent) - 1e-9)
+
+        def alike(one: str, other: str) -> Column:
+            alone = [F.bit_count(F.col(one + c).bitwiseAND(F.bitwise_not(F.col(other + c)))) for c in _MARKS]
+            return F.col(one + "differ") - reduce(Column.__add__, alone)
+        same = F.least(alike(left, right), alike(right, left))
+        return F.col(left + "both") + F.col(right + "both") - F.col(left + "around") + same >= need
+
+    labels = linking.classes(met, verify, plausible, facts, possible, versus, apart)
     rows = scanned.filter("id is not null").drop("token", "times", *_LANES)
     named = rows.join(labels.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
     return materialize(named.withColumn("label", F.coalesce("label", "id")).drop("of"), "classes")

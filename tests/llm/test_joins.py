@@ -269,3 +269,51 @@ def test_short_pieces_are_found():
     matcher = decontaminate.Matcher([(1, b"abcdefghij klmnop qrs")], rate=0.2)
     raw, off = decontaminate.flat(pa.array(["xx abcdefgh1j kl2nop 3rs yy", "abc"]))
     assert [(r, i, e) for r, i, e, _ in matcher.find(raw, off)] == [(0, 1, 3)]
+
+
+def made_in_the_second_round(monkeypatch):
+    """Rows that the second round's join on keys makes, by call."""
+    made, residual = [], linking.residual
+
+    def counted(*args):
+        out = residual(*args)
+        made.append(out.agg(F.sum("shared")).first()[0] or 0)
+        return out
+    monkeypatch.setattr(linking, "residual", counted)
+    return made
+
+
+def family(size, seed=11):
+    """Copies of one text with so many words replaced that about half of them are not linked with the others."""
+    random.seed(seed)
+    base, out = [f"w{i}" for i in range(400)], []
+    for i in range(size):
+        copy = list(base)
+        for _ in range(random.randint(0, 15)):
+            copy[random.randrange(len(copy))] = f"x{random.randrange(10 ** 6)}"
+        out.append((i, " ".join(copy)))
+    return out
+
+
+def test_outsiders_of_a_large_family(spark, monkeypatch):
+    made, rows = made_in_the_second_round(monkeypatch), family(180)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.components(docs).collect()}
+    want = by_brute_force(rows)
+    assert got == want and 20 < len({c for _, c in want.values()}) < 160
+    assert sum(made) < 20 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 75])
+def test_jaccard_join_through_centers(spark, monkeypatch, percent):
+    monkeypatch.setattr(linking, "LARGE", 1)
+    monkeypatch.setattr(linking, "OUTSIDERS", 3)
+    rows = near_copies(6, 8)
+    rows += [(len(rows) + i, t) for i, t in family(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    sets, union = {i: shingle_set(t) for i, t in rows}, Union()
+    for a, b in combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            union.join(a, b)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.components(docs, percent=percent).collect()}
+    assert got == {i: union.find(i) for i in sets}
