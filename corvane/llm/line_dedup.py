@@ -180,15 +180,15 @@ def _texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
 def line_classes(source: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     """``id``, ``label`` of the lines that are linked with another line by at most ``edits`` edits.
 
-    ``lines``: ``id`` and letter counts of every distinct line; pairs whose counts are too far apart are not verified.
+    ``lines``: ``id`` and parity bits of every distinct line; pairs whose bits are too far apart are not verified.
     """
-    counts = lines.select("id", *_LANES)
+    bits = lines.select("id", *_LANES)
 
     def plausible(pairs: DataFrame) -> DataFrame:
         both = pairs.select("a", "b")
         for side in ("a", "b"):
-            both = both.join(counts.toDF(side, *[f"{side}_{c}" for c in _LANES]), side)
-        return both.filter(near_counts("a_", "b_", edits)).select("a", "b")
+            both = both.join(bits.toDF(side, *[f"{side}_{c}" for c in _LANES]), side)
+        return both.filter(near_pairs("a_", "b_", edits)).select("a", "b")
 
     index = _postings(source, edits, True).groupBy("key").agg(F.min("id").alias("lo"))
     index = materialize(index, "keys")
@@ -206,37 +206,32 @@ def line_classes(source: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
                 keep = [banded(x, y, edits) for x, y in zip(rows.column("x").to_pylist(), rows.column("y").to_pylist())]
                 yield batch(a=rows.column("a"), b=rows.column("b")).filter(pa.array(keep, pa.bool_()))
         return both.mapInArrow(run, "a bigint, b bigint")
-    return linking.classes(met, verify, plausible, lambda members: members.select("id").distinct().join(counts, "id"),
-                           lambda left, right: near_counts(left, right, edits))
+    return linking.classes(met, verify, plausible, lambda members: members.select("id").distinct().join(bits, "id"),
+                           lambda left, right: near_pairs(left, right, edits))
 
 
-#: Lines longer than this have no letter counts (all lanes 0), which rule nothing out.
-_COUNTED = 60_000
 _LANES = [f"c{i}" for i in range(4)]
+_PAIR_BITS = mix(np.arange(2 ** 16, dtype=np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(56)
 
 
-def letter_counts(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """How many bytes of each of 16 kinds (the low four bits) a line has: four counts of 16 bits in each of four longs."""
+def pair_parities(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """256 bits per line, in four longs: for each of 256 buckets, whether an odd number of the line's pairs of
+    neighbouring bytes fall into it."""
+    codes = raw[:-1].astype(np.uint16) << np.uint16(8) | raw[1:]
+    last = np.maximum(ends - 1, starts)
     out = []
     for lane in range(4):
-        one = np.zeros(256, np.uint64)
-        for kind in range(4):
-            one[(np.arange(256) & 15) == 4 * lane + kind] = np.uint64(1 << 16 * kind)
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(one[raw], out=total[1:])
-        out.append(np.where(ends - starts <= _COUNTED, total[ends] - total[starts], np.uint64(0)))
+        one = np.where(_PAIR_BITS >> np.uint64(6) == lane, np.uint64(1) << (_PAIR_BITS & np.uint64(63)), np.uint64(0))
+        total = np.zeros(len(codes) + 1, np.uint64)
+        np.bitwise_xor.accumulate(one[codes], out=total[1:])
+        out.append(total[last] ^ total[starts])
     return out
 
 
-def near_counts(left: str, right: str, edits: int) -> Column:
-    """Whether the letter counts of two lines allow for ``edits`` edits, each of which moves two counts by one at most."""
-    away = F.lit(0).cast("bigint")
-    for lane in _LANES:
-        for kind in range(4):
-            x, y = (F.shiftrightunsigned(F.col(s + lane), 16 * kind).bitwiseAND(0xFFFF) for s in (left, right))
-            away = away + F.abs(x - y)
-    some = [reduce(Column.__or__, [F.col(s + lane) != 0 for lane in _LANES]) for s in (left, right)]
-    return ~some[0] | ~some[1] | (away <= 2 * edits)
+def near_pairs(left: str, right: str, edits: int) -> Column:
+    """Whether the bits of two lines allow for ``edits`` edits, each of which takes away two pairs and adds two at most."""
+    apart = reduce(Column.__add__, [F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in _LANES])
+    return apart <= 4 * edits
 
 
 def row_key(key: Column, text: Column) -> Column:
@@ -257,8 +252,8 @@ def removals(docs: DataFrame, edits: int = EDITS, key: str = "doc_id", text: str
         raw, off = flat(block.column("text"))
         starts, ends, rows, number = _lines(raw, off)
         at = pa.array(rows, pa.int64())
-        counts = dict(zip(_LANES, map(longs, letter_counts(raw, starts, ends))))
-        return batch(**counts, doc_id=block.column("doc_id").take(at), row_key=block.column("row_key").take(at),
+        bits = dict(zip(_LANES, map(longs, pair_parities(raw, starts, ends))))
+        return batch(**bits, doc_id=block.column("doc_id").take(at), row_key=block.column("row_key").take(at),
                      number=pa.array(number, pa.int32()), id=longs(_ids(raw, starts, ends)))
     lines = materialize(map_blocks(source, kernel, f"{', '.join(f'{c} bigint' for c in _LANES)}, "
                                    f"doc_id {kind}, row_key bigint, number int, id bigint"), "lines")
